@@ -105,7 +105,7 @@ def percent_corrupt(c: str) -> str:
 
 
 def fraction(c: str) -> str:
-    t = f"regexp_replace({c}, '[%\\\\s]', '', 'g')".replace("[%\\\\s]", r"[%\\s]")
+    t = rf"regexp_replace({c}, '[%\\s]', '', 'g')"
     return (
         f"CASE WHEN regexp_full_match({t}, '[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)') "
         f"THEN CAST({t} AS DOUBLE) / 100.0 END"
@@ -232,13 +232,15 @@ bp AS (SELECT *, {_RUN_DAY} AS snapshot_date, 'run' || run_no AS run_id,
 BRONZE_VIDEO = (RUNS_VIDEO, ANN_VIDEO, _valid_video(), _bronze_video())
 BRONZE_PRODUCTION = (RUNS_PRODUCTION, ANN_PRODUCTION, _bronze_production())
 
+
+def _key(c: str) -> str:
+    return upper_trim(f"coalesce({c}, '')")
+
+
 VIDEO_KEY = (
-    f"{upper_trim('toko')}, {upper_trim(chr(39) * 0 + 'coalesce(id_kreator, ' + chr(39) * 2 + ')')}, "
-    f"{upper_trim('coalesce(id_video, ' + chr(39) * 2 + ')')}, CAST(tanggal AS DATE)"
-)
-PRODUCTION_KEY = (
-    f"{upper_trim('akun')}, {upper_trim('coalesce(id_konten, ' + chr(39) * 2 + ')')}, CAST(tanggal AS DATE)"
+    f"{upper_trim('toko')}, {_key('id_kreator')}, {_key('id_video')}, CAST(tanggal AS DATE)"
 )
+PRODUCTION_KEY = f"{upper_trim('akun')}, {_key('id_konten')}, CAST(tanggal AS DATE)"
 
 
 def latest(name: str, bronze: str, key: str, runs: str = "1, 2, 3") -> str:
@@ -254,7 +256,8 @@ def silver_video_select() -> str:
         elif c == "waktu":
             out.append("waktu")
         else:
-            out.append(f"{upper_trim(c)} AS {c}") if c in VIDEO.text_columns else None
+            if c in VIDEO.text_columns:
+                out.append(f"{upper_trim(c)} AS {c}")
     out += [f"{raw} AS {new}" for raw, new in {**SILVER_VIDEO_COUNTS, **SILVER_VIDEO_MONEY}.items()]
     out += [f"{fraction(raw)} AS {new}" for raw, new in SILVER_VIDEO_RATIOS.items()]
     return ", ".join(out)

@@ -171,7 +171,7 @@ PRODUCTION_RUNS = {
     2: "year(o_orderdate) > 1995 AND year(o_orderdate) <= 1999",
     3: "year(o_orderdate) > 1997",
 }
-RUN_DAYS = {1: "2024-02-01", 2: "2024-02-02", 3: "2024-02-03"}
+RUN_DAYS = {0: "2024-02-01", 1: "2024-02-01", 2: "2024-02-02", 3: "2024-02-03"}
 
 _RAW_NAMES = {
     snake_case(c): c for c in (*VIDEO.numeric_columns, *VIDEO.percent_columns)
@@ -195,6 +195,62 @@ def raw_production(spark: SparkSession, sf_dir: str, run: int = 0) -> DataFrame:
     return spark.sql(production_sql(run, PRODUCTION_RUNS.get(run, "TRUE"))).drop("run_no")
 
 
+# --- Small tables: state, registry, landed cells -------------------------------------
+
+SOURCES_SQL = """SELECT 'sheet' || CAST(user_id % 5 AS STRING) AS sheet_name,
+  'cred' || CAST(CASE user_id % 5 WHEN 4 THEN 3 ELSE user_id % 5 END AS STRING) AS creds,
+  CAST(user_id % 5 AS INT) AS sheet_ord
+FROM events GROUP BY user_id % 5"""
+
+MARKS_SQL = """SELECT 'cred' || CAST(user_id % 4 AS STRING) AS creds,
+  '2024-01-' || CAST(10 + user_id % 4 AS STRING) AS mark
+FROM events WHERE 'cred' || CAST(user_id % 4 AS STRING) <> 'cred3' GROUP BY user_id % 4"""
+
+# One source per user; three sheets share a source id; users who came late are not registered.
+REGISTRY_SQL = """SELECT 'user' || CAST(user_id AS STRING) AS sheet_name,
+  'id' || CAST(user_id - user_id % 3 AS STRING) AS creds, CAST(user_id AS INT) AS sheet_ord
+FROM events GROUP BY user_id HAVING min(day(ts)) <= 1"""
+
+# Old-format rows have no creds, some rows hold a stale one.
+STATE_SQL = """SELECT CASE WHEN u % 2 = 1 THEN NULL WHEN u % 10 = 0 THEN 'SH_KEY_' || CAST(u AS STRING)
+    ELSE 'id' || CAST(u AS STRING) END AS creds,
+  'user' || CAST(u AS STRING) AS sheet_name,
+  CAST(last_day AS STRING) || ' 10:00' AS last_processed_date,
+  CASE WHEN u % 7 = 0 THEN NULL ELSE '2024-01-2' || CAST(u % 5 AS STRING) || 'T06:00:00' END AS updated_at,
+  u AS ord
+FROM (SELECT user_id AS u, max(CAST(ts AS DATE)) AS last_day FROM events WHERE day(ts) <= 20 GROUP BY user_id) s"""
+
+FRESH_SQL = """SELECT 'id' || CAST(user_id AS STRING) AS creds, CAST(max(CAST(ts AS DATE)) AS STRING) AS max_date
+FROM events WHERE event_type = 'purchase' AND day(ts) > 20 GROUP BY user_id"""
+
+# Landed sheets: two title rows, a header row, then data. Two column orders; the first
+# repeats a header name, the second lacks one column and has another instead.
+LANDED_SQL = """SELECT sheet_name, row_idx, CASE WHEN k < 3 THEN array(a, b, c, 'second ' || b)
+    ELSE array(c, a, e) END AS cells
+FROM (SELECT 'sheet' || CAST(user_id % 5 AS STRING) AS sheet_name, user_id % 5 AS k,
+    event_id + 3 AS row_idx, CAST(CAST(ts AS DATE) AS STRING) AS a, event_type AS b,
+    CAST(user_id AS STRING) AS c, props AS e FROM events) d
+UNION ALL
+SELECT 'sheet' || CAST(user_id % 5 AS STRING), CAST(2 AS BIGINT),
+  CASE WHEN user_id % 5 < 3 THEN array('Tanggal', 'Toko', 'VV', 'Toko') ELSE array('VV', 'Tanggal', 'No. Video') END
+FROM events GROUP BY user_id % 5
+UNION ALL
+SELECT 'sheet' || CAST(user_id % 5 AS STRING), CAST(0 AS BIGINT), array('title', '')
+FROM events GROUP BY user_id % 5"""
+
+BLANK_SQL = """SELECT event_id AS row_idx,
+  CASE event_id % 4 WHEN 0 THEN '' WHEN 1 THEN '-' WHEN 2 THEN 'nan' ELSE 'n/a' END AS a,
+  CASE event_id % 5 WHEN 0 THEN ' ' WHEN 1 THEN ' - ' WHEN 2 THEN 'None' WHEN 3 THEN 'NaT' ELSE event_type END AS b,
+  CASE event_id % 6 WHEN 0 THEN NULL WHEN 5 THEN event_type ELSE '\xa0' END AS c,
+  'cred' || CAST(user_id % 4 AS STRING) AS creds, event_type AS sheet_name
+FROM events"""
+
+
+def from_sql(spark: SparkSession, sf_dir: str, sql: str, *tables: str) -> DataFrame:
+    register(spark, sf_dir, *(tables or ("events",)))
+    return spark.sql(sql)
+
+
 # --- Derived tables: written once per session to the cluster's shared folder ---------
 
 _STAGED: dict[tuple[str, str, str], str] = {}
