@@ -112,7 +112,7 @@ _BATCH = (
     o.RAW_VIDEO,
     o.ANN_VIDEO,
     o._valid_video(),
-    o._bronze_video(),
+    o._bronze_video("bv"),
     _COUNTS,
     _OPEN,
     f"""flagged AS (SELECT *, (sheet_name, creds, strftime(tanggal, '%Y-%m-%d')) IN ({_CONFIRMED}) AS rec FROM bv)""",

@@ -205,9 +205,9 @@ def hash_raw_video() -> str:
     )
 
 
-def _bronze_video() -> str:
+def _bronze_video(name: str) -> str:
     counts = ", ".join(f"CAST(round_even({c}, 0) AS BIGINT) AS {c}" for c in VIDEO.count_columns)
-    return f"""bv AS (SELECT * REPLACE ({counts}), {_RUN_DAY} AS snapshot_date,
+    return f"""{name} AS (SELECT * REPLACE ({counts}), {_RUN_DAY} AS snapshot_date,
   'run' || run_no AS run_id, {hash_raw_video()} AS row_hash_raw FROM vv0)"""
 
 
@@ -217,7 +217,7 @@ def hash_raw_production() -> str:
     )
 
 
-def _bronze_production() -> str:
+def _bronze_production(name: str) -> str:
     cols = []
     for c in PRODUCTION_CELLS:
         if c in PRODUCTION.drop_columns:
@@ -225,12 +225,28 @@ def _bronze_production() -> str:
         cols.append({"tanggal": "d0 AS tanggal", "tanggal_jadi": "d1 AS tanggal_jadi"}.get(c, c))
     return f"""vp0 AS (SELECT row_idx, run_no, {', '.join(cols)}, creds, sheet_name
   FROM ap WHERE NOT is_error AND NOT is_blank),
-bp AS (SELECT *, {_RUN_DAY} AS snapshot_date, 'run' || run_no AS run_id,
+{name} AS (SELECT *, {_RUN_DAY} AS snapshot_date, 'run' || run_no AS run_id,
   {hash_raw_production()} AS row_hash_raw FROM vp0)"""
 
 
-BRONZE_VIDEO = (RUNS_VIDEO, ANN_VIDEO, _valid_video(), _bronze_video())
-BRONZE_PRODUCTION = (RUNS_PRODUCTION, ANN_PRODUCTION, _bronze_production())
+def _first_per_run(name: str, src: str) -> str:
+    return f"""{name} AS (SELECT * FROM {src}
+  QUALIFY row_number() OVER (PARTITION BY run_no, row_hash_raw ORDER BY row_idx) = 1)"""
+
+
+BRONZE_VIDEO = (
+    RUNS_VIDEO,
+    ANN_VIDEO,
+    _valid_video(),
+    _bronze_video("bv0"),
+    _first_per_run("bv", "bv0"),
+)
+BRONZE_PRODUCTION = (
+    RUNS_PRODUCTION,
+    ANN_PRODUCTION,
+    _bronze_production("bp0"),
+    _first_per_run("bp", "bp0"),
+)
 
 
 def _key(c: str) -> str:

@@ -21,7 +21,7 @@ from contentlake.functions.numbers import (
     safe_long,
     safe_money,
 )
-from contentlake.functions.text import empty_to_null, named, snake_case, strip, upper_trim
+from contentlake.functions.text import empty_to_null, literal, q, snake_case, strip, upper_trim
 from contentlake.operators import manifest as m
 from contentlake.operators import validate as val
 from contentlake.operators import watermark as wm
@@ -51,6 +51,7 @@ from contentlake.specs import PRODUCTION, SILVER_PRODUCTION_KEYS, SILVER_VIDEO_K
 
 REPORTED_AT, PATH = "2024-02-01T06:00:00", "quarantine/video"
 STAMP = ("snapshot_ts",)
+OUTCOME = f"CASE WHEN _blank THEN 'blank' WHEN {val.IS_ERROR} THEN 'error' ELSE 'valid' END AS outcome"
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -82,8 +83,7 @@ def _errors(spark, sf) -> DataFrame:
 
 def _affected(spark, sf):
     """Batch-wide affected columns as a scalar subquery: nothing is collected."""
-    a = _annotated(spark, sf)
-    return a.agg(val.affected_columns(a, VIDEO).alias("x")).scalar()
+    return val.affected_list(_annotated(spark, sf), VIDEO).scalar()
 
 
 def _counts(spark, sf) -> DataFrame:
@@ -137,18 +137,17 @@ def _flat(df: DataFrame) -> DataFrame:
 def parse_mixed_dates_(spark, sf):
     return _video(spark, sf).select(
         "row_idx",
-        parse_mixed_dates(F.col("Tanggal")).alias("tanggal"),
-        parse_mixed_dates(F.col("Waktu")).alias("waktu"),
+        F.expr(parse_mixed_dates("Tanggal")).alias("tanggal"),
+        F.expr(parse_mixed_dates("Waktu")).alias("waktu"),
     )
 
 
 @query
 def date_parse_failures(spark, sf):
-    c = strip(F.col("Tanggal"))
     return (
         _video(spark, sf)
-        .filter(is_date_token(F.col("Tanggal")) & parse_mixed_dates(F.col("Tanggal")).isNull())
-        .select(c.alias("cell"))
+        .filter(f"{is_date_token('Tanggal')} AND {parse_mixed_dates('Tanggal')} IS NULL")
+        .selectExpr(f"{strip('Tanggal')} AS cell")
         .distinct()
         .orderBy("cell")
         .limit(20)
@@ -158,14 +157,14 @@ def date_parse_failures(spark, sf):
 @query
 def excel_serial_date_(spark, sf):
     return _video(spark, sf).select(
-        "row_idx", excel_serial_date(F.col("Tanggal")).alias("serial_date")
+        "row_idx", F.expr(excel_serial_date("Tanggal")).alias("serial_date")
     )
 
 
 @query
 def clean_numeric(spark, sf):
     return _video(spark, sf).select(
-        "row_idx", *[clean_number(named(c)).alias(snake_case(c)) for c in VIDEO.numeric_columns]
+        "row_idx", *[F.expr(clean_number(q(c))).alias(snake_case(c)) for c in VIDEO.numeric_columns]
     )
 
 
@@ -173,7 +172,7 @@ def clean_numeric(spark, sf):
 def percent_to_fraction_(spark, sf):
     return _video(spark, sf).select(
         "row_idx",
-        *[percent_to_fraction(named(c)).alias(snake_case(c)) for c in VIDEO.percent_columns],
+        *[F.expr(percent_to_fraction(q(c))).alias(snake_case(c)) for c in VIDEO.percent_columns],
     )
 
 
@@ -181,23 +180,23 @@ def percent_to_fraction_(spark, sf):
 def safe_casts(spark, sf):
     return _video(spark, sf).select(
         "row_idx",
-        safe_long(F.col("VV")).alias("vv_long"),
-        safe_long(F.col("dibagikan")).alias("dibagikan_long"),
-        safe_money(F.col("VV")).alias("vv_money"),
-        safe_double(F.col("komentar")).alias("komentar_double"),
-        safe_double(named("Persentase video yang ditonton hingga selesai")).alias("pct_double"),
+        F.expr(safe_long("VV")).alias("vv_long"),
+        F.expr(safe_long("dibagikan")).alias("dibagikan_long"),
+        F.expr(safe_money("VV")).alias("vv_money"),
+        F.expr(safe_double("komentar")).alias("komentar_double"),
+        F.expr(safe_double(q("Persentase video yang ditonton hingga selesai"))).alias("pct_double"),
     )
 
 
 @query
 def round_half_even_(spark, sf):
     df = spark.read.parquet(f"{sf}/lineitem.parquet")
-    half = (F.col("l_quantity") / 2).cast(MONEY)
+    half = f"CAST(l_quantity / 2 AS {MONEY})"
     return df.select(
         "l_orderkey",
         "l_linenumber",
-        round_half_even(half).alias("half_quantity"),
-        round_half_even(F.col("l_extendedprice").cast(MONEY)).alias("price"),
+        F.expr(round_half_even(half)).alias("half_quantity"),
+        F.expr(round_half_even(f"CAST(l_extendedprice AS {MONEY})")).alias("price"),
     )
 
 
@@ -205,8 +204,8 @@ def round_half_even_(spark, sf):
 def upper_trim_(spark, sf):
     return _video(spark, sf).select(
         "row_idx",
-        upper_trim(F.col("toko")).alias("toko"),
-        upper_trim(F.col("informasi_video")).alias("informasi_video"),
+        F.expr(upper_trim("toko")).alias("toko"),
+        F.expr(upper_trim("informasi_video")).alias("informasi_video"),
     )
 
 
@@ -215,15 +214,15 @@ def strip_text_hash(spark, sf):
     df = spark.read.parquet(f"{sf}/documents.parquet")
     return df.select(
         "doc_id",
-        F.length(strip(F.col("text"))).alias("n_chars_stripped"),
-        row_hash(F.col("lang"), strip(F.col("text"))).alias("text_hash"),
+        F.expr(f"length({strip('text')})").alias("n_chars_stripped"),
+        F.expr(row_hash("lang", strip("text"))).alias("text_hash"),
     )
 
 
 @query
 def empty_to_null_(spark, sf):
     return _video(spark, sf).select(
-        "row_idx", *[empty_to_null(F.col(c)).alias(c) for c in VIDEO.text_columns]
+        "row_idx", *[F.expr(empty_to_null(c)).alias(c) for c in VIDEO.text_columns]
     )
 
 
@@ -231,7 +230,7 @@ def empty_to_null_(spark, sf):
 def profile_integral(spark, sf):
     valid = _valid(spark, sf)
     return valid.agg(
-        *[val.is_integral(named(c)).alias(snake_case(c)) for c in VIDEO.numeric_columns]
+        *[F.expr(val.is_integral(q(c))).alias(snake_case(c)) for c in VIDEO.numeric_columns]
     )
 
 
@@ -284,18 +283,18 @@ def filter_id_present(spark, sf):
 @query
 def blank_rows(spark, sf):
     df = v.from_sql(spark, sf, v.BLANK_SQL)
-    return df.select("row_idx", val.blank_row(df).alias("is_blank"))
+    return df.select("row_idx", F.expr(val.blank_row(df)).alias("is_blank"))
 
 
 @query
 def numeric_corruption(spark, sf):
-    hit = [F.when(is_numeric_corrupt(named(c)), F.lit(c)) for c in VIDEO.numeric_columns]
+    hit = [F.expr(f"if({is_numeric_corrupt(q(c))}, {literal(c)}, NULL)") for c in VIDEO.numeric_columns]
     return _video(spark, sf).select("row_idx", F.concat_ws("|", *hit).alias("columns"))
 
 
 @query
 def percent_corruption(spark, sf):
-    hit = [F.when(is_percent_corrupt(named(c)), F.lit(c)) for c in VIDEO.percent_columns]
+    hit = [F.expr(f"if({is_percent_corrupt(q(c))}, {literal(c)}, NULL)") for c in VIDEO.percent_columns]
     return _video(spark, sf).select("row_idx", F.concat_ws("|", *hit).alias("columns"))
 
 
@@ -309,18 +308,12 @@ def date_errors(spark, sf):
 
 @query
 def validate_split(spark, sf):
-    outcome = (
-        F.when(F.col("_blank"), "blank").when(val.is_error(), "error").otherwise("valid")
-    )
-    return v.annotated(spark, sf, VIDEO).select("row_idx", outcome.alias("outcome"))
+    return v.annotated(spark, sf, VIDEO).selectExpr("row_idx", OUTCOME)
 
 
 @query
 def validate_split_production(spark, sf):
-    outcome = (
-        F.when(F.col("_blank"), "blank").when(val.is_error(), "error").otherwise("valid")
-    )
-    return v.annotated(spark, sf, PRODUCTION).select("row_idx", outcome.alias("outcome"))
+    return v.annotated(spark, sf, PRODUCTION).selectExpr("row_idx", OUTCOME)
 
 
 @query

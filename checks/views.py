@@ -16,7 +16,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contentlake.functions.text import named, snake_case
+from contentlake.functions.text import q, snake_case
+from contentlake.operators.latest import first_by_hash
 from contentlake.operators.validate import annotate, rows_with_id, valid_rows
 from contentlake.plans.bronze import build_bronze
 from contentlake.plans.silver import silver_production, silver_video
@@ -187,7 +188,7 @@ def raw_video(spark: SparkSession, sf_dir: str, run: int = 0) -> DataFrame:
     """Raw video sheet rows under their real header names."""
     register(spark, sf_dir, "events")
     df = spark.sql(video_sql(run, VIDEO_RUNS.get(run, "TRUE"))).drop("run_no")
-    return df.select(*[named(c).alias(_RAW_NAMES.get(c, c)) for c in df.columns])
+    return df.selectExpr(*[f"{c} AS {q(_RAW_NAMES.get(c, c))}" for c in df.columns])
 
 
 def raw_production(spark: SparkSession, sf_dir: str, run: int = 0) -> DataFrame:
@@ -304,8 +305,10 @@ def staged_annotated(spark: SparkSession, sf_dir: str, spec: DatasetSpec) -> Dat
 
 
 def bronze_run(spark: SparkSession, sf_dir: str, spec: DatasetSpec, run: int) -> DataFrame:
+    """What one run loads into an empty bronze table: first row per hash."""
     valid = valid_rows(annotated(spark, sf_dir, spec, run), spec)
-    return build_bronze(valid, spec, run_ts(run), f"run{run}")
+    rows = build_bronze(valid, spec, run_ts(run), f"run{run}")
+    return first_by_hash(rows, [F.asc("row_idx")])
 
 
 def bronze(spark: SparkSession, sf_dir: str, spec: DatasetSpec, runs=(1, 2, 3)) -> DataFrame:

@@ -2,10 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
-from contentlake.functions.text import WS_CLASS, strip
+from contentlake.functions.text import WS_CLASS, literal, matches, strip
 
 # Cell texts that mean "no date" and are not parse failures.
 DATE_NULL_TOKENS = ("", "-", "nan", "None", "NaT")
@@ -40,46 +37,48 @@ _YEAR_19XX = _fill(rf"{_NN}{_SEP}{_NN}{_SEP}(69|[7-9][0-9])")
 _SERIAL = rf"^{_PAD}([0-9]{{3,6}}){_PAD}\z"
 
 
-def excel_serial_date(c: Column) -> Column:
+def excel_serial_date(c: str) -> str:
     """Excel day number of three to six digits as a date, inside the year window."""
-    days = F.when(c.rlike(_SERIAL), F.regexp_extract(c, _SERIAL, 1).cast("int"))
-    return F.when(
-        days.between(FIRST_SERIAL, LAST_SERIAL),
-        F.date_add(F.lit(EXCEL_DAY_ZERO).cast("date"), days),
+    days = (
+        f"CASE WHEN {matches(c, _SERIAL)} "
+        f"THEN CAST(regexp_extract({c}, r'{_SERIAL}', 1) AS int) END"
+    )
+    return (
+        f"CASE WHEN {days} BETWEEN {FIRST_SERIAL} AND {LAST_SERIAL} "
+        f"THEN date_add(DATE'{EXCEL_DAY_ZERO}', {days}) END"
     )
 
 
-def parse_mixed_dates(c: Column) -> Column:
+def parse_mixed_dates(c: str) -> str:
     """TIMESTAMP_NTZ of a mixed-format date cell, null when it is not a date.
 
     A usual cell costs one replacement and one cast; the rarer forms are tried only
     when that gave nothing. The forms exclude each other, so their order is free.
     """
 
-    def read(pattern: str, text: str) -> Column:
-        return F.regexp_replace(c, pattern, text).try_cast("timestamp_ntz")
+    def read(pattern: str, text: str) -> str:
+        return f"try_cast(regexp_replace({c}, r'{pattern}', '{text}') AS timestamp_ntz)"
 
-    return F.coalesce(
-        read(_LONG_YEAR, _LONG_YEAR_TEXT),
-        read(_YEAR_20XX, "20$3-$2-$1"),
-        read(_YEAR_19XX, "19$3-$2-$1"),
-        excel_serial_date(c).cast("timestamp_ntz"),
+    return (
+        f"coalesce({read(_LONG_YEAR, _LONG_YEAR_TEXT)}, {read(_YEAR_20XX, '20$3-$2-$1')}, "
+        f"{read(_YEAR_19XX, '19$3-$2-$1')}, CAST({excel_serial_date(c)} AS timestamp_ntz))"
     )
 
 
-def is_date_token(c: Column) -> Column:
+def is_date_token(c: str) -> str:
     """Cell holds something that was meant as a date (not null, not a null token)."""
-    return c.isNotNull() & ~strip(c).isin(*DATE_NULL_TOKENS)
+    tokens = ", ".join(literal(t) for t in DATE_NULL_TOKENS)
+    return f"({c} IS NOT NULL AND {strip(c)} NOT IN ({tokens}))"
 
 
-def error_date(parsed: Column) -> Column:
-    """ISO day of a parsed date, or the marker for rows that have none."""
-    return F.coalesce(F.date_format(parsed, "yyyy-MM-dd"), F.lit(INVALID_DATE))
+def day_text(c: str) -> str:
+    return f"date_format({c}, 'yyyy-MM-dd')"
 
 
-def day_text(c: Column) -> Column:
-    return F.date_format(c, "yyyy-MM-dd")
+def second_text(c: str) -> str:
+    return f"date_format({c}, 'yyyy-MM-dd HH:mm:ss')"
 
 
-def second_text(c: Column) -> Column:
-    return F.date_format(c, "yyyy-MM-dd HH:mm:ss")
+def error_date(parsed: str) -> str:
+    """ISO day of a parsed date, or the marker for rows that have none."""
+    return f"coalesce({day_text(parsed)}, '{INVALID_DATE}')"

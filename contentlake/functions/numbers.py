@@ -1,11 +1,11 @@
-"""Localised numbers and percentages."""
+"""Localised numbers and percentages.
 
-from __future__ import annotations
+Casts sit behind a match: a cast that fails costs a Java exception, a match does not.
+"""
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from __future__ import annotations
 
-from contentlake.functions.text import WS_CLASS, strip
+from contentlake.functions.text import WS_CLASS, matches, strip
 
 MONEY = "decimal(38,9)"
 
@@ -27,65 +27,63 @@ PERCENT_CELL = rf"^(?:[{WS_CLASS}]*(?i:nan|none|n/a)[{WS_CLASS}]*|[0-9.,%{WS_CLA
 # At least one digit and at most one comma, among whatever else.
 _ONE_NUMBER = r"^[^0-9,]*(?:,[^0-9,]*[0-9][^,]*|[0-9][^,]*(?:,[^,]*)?)\z"
 _INTEGER = rf"^[{WS_CLASS}]*[+-]?[0-9]+[{WS_CLASS}]*\z"
-_FLOAT = (
-    r"^[+-]?(?:(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?|(?i:inf|infinity|nan))\z"
-)
+_DECIMAL = r"(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?"
+_NUMBER = rf"^[{WS_CLASS}]*[+-]?{_DECIMAL}[{WS_CLASS}]*\z"
+_FLOAT = rf"^[{WS_CLASS}]*[+-]?(?:{_DECIMAL}|(?i:inf|infinity|nan))[{WS_CLASS}]*\z"
 
 
-def is_numeric_corrupt(c: Column) -> Column:
-    return F.coalesce(~c.rlike(NUMERIC_CELL), F.lit(False))
+def is_numeric_corrupt(c: str) -> str:
+    return f"coalesce(NOT {matches(c, NUMERIC_CELL)}, false)"
 
 
-def is_percent_corrupt(c: Column) -> Column:
-    return F.coalesce(~c.rlike(PERCENT_CELL), F.lit(False))
+def is_percent_corrupt(c: str) -> str:
+    return f"coalesce(NOT {matches(c, PERCENT_CELL)}, false)"
 
 
-def clean_number(c: Column, default: int = 0) -> Column:
+def clean_number(c: str, default: int = 0) -> str:
     """Localised text to decimal(38,9); what cannot be read becomes `default`.
 
-    Digits and the decimal comma count, every other character goes. The match comes
-    first because a failing cast is far dearer than a failing match.
+    Digits and the decimal comma count, every other character goes.
     """
-    text = F.translate(F.regexp_replace(c, "[^0-9,]", ""), ",", ".")
-    return F.coalesce(
-        F.when(c.rlike(_ONE_NUMBER), text.try_cast(MONEY)), F.lit(default).cast(MONEY)
+    text = f"translate(regexp_replace({c}, '[^0-9,]', ''), ',', '.')"
+    return (
+        f"coalesce(CASE WHEN {matches(c, _ONE_NUMBER)} THEN try_cast({text} AS {MONEY}) END, "
+        f"CAST({default} AS {MONEY}))"
     )
 
 
-def safe_long(c: Column) -> Column:
+def safe_long(c: str) -> str:
     """Text to bigint or null; '12.5' is null, not rounded."""
-    return F.when(c.rlike(_INTEGER), strip(c).try_cast("bigint"))
+    return f"CASE WHEN {matches(c, _INTEGER)} THEN try_cast({strip(c)} AS bigint) END"
 
 
-def safe_money(c: Column) -> Column:
+def safe_money(c: str) -> str:
     """Text to decimal(38,9) or null."""
-    t = strip(c)
-    return F.when(t.rlike(_FLOAT), t.try_cast(MONEY))
+    return f"CASE WHEN {matches(c, _NUMBER)} THEN try_cast({strip(c)} AS {MONEY}) END"
 
 
-def safe_double(c: Column) -> Column:
+def safe_double(c: str) -> str:
     """Text to double or null; Java's '12d' suffix form is refused."""
-    t = strip(c)
-    return F.when(t.rlike(_FLOAT), t.try_cast("double"))
+    return f"CASE WHEN {matches(c, _FLOAT)} THEN try_cast({strip(c)} AS double) END"
 
 
-def percent_to_fraction(c: Column, decimal_comma: bool = False) -> Column:
+def percent_to_fraction(c: str, decimal_comma: bool = False) -> str:
     """'12.3%' to 0.123.
 
     The class removes '%', a backslash and the letter 's', exactly as in the SQL
     this must agree with. A decimal comma gives null unless `decimal_comma`.
     """
-    t = F.regexp_replace(c, r"[%\\s]", "")
+    t = rf"regexp_replace({c}, r'[%\\s]', '')"
     if decimal_comma:
-        t = F.translate(t, ",", ".")
-    return safe_double(t) / F.lit(100.0)
+        t = f"translate({t}, ',', '.')"
+    return f"{safe_double(t)} / 100D"
 
 
-def round_half_even(c: Column) -> Column:
+def round_half_even(c: str) -> str:
     """Nearest whole number, ties to even, null to 0."""
-    return F.coalesce(F.bround(c, 0).cast("bigint"), F.lit(0).cast("bigint"))
+    return f"coalesce(CAST(bround({c}, 0) AS bigint), 0L)"
 
 
-def plain_number(c: Column) -> Column:
+def plain_number(c: str) -> str:
     """Decimal(38,9) text without trailing zeros: 12.000000000 -> 12, 1.500000000 -> 1.5."""
-    return F.regexp_replace(c.try_cast(MONEY).cast("string"), r"\.?0+$", "")
+    return rf"regexp_replace(CAST(try_cast({c} AS {MONEY}) AS string), r'\.?0+$', '')"

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 # The characters Unicode treats as white space, which a plain
 # Spark trim (U+0020 only) would leave in place.
 WHITESPACE = (
@@ -21,6 +18,9 @@ BLANK_TOKENS = ("", "-", "nan", "none", "nat")
 EMPTY_TOKENS = ("", "nan", "none", "-", "n/a")
 MANIFEST_EMPTY_TOKENS = ("", "nan", "none", "-", "n/a", "nat")
 
+# Characters deleted from a column name.
+NAME_NOISE = ".()%/-"
+
 _PADDED = rf"^[{WS_CLASS}]|[{WS_CLASS}]\z"
 
 
@@ -29,49 +29,61 @@ def _padded_token(tokens: tuple[str, ...]) -> str:
     return rf"^[{WS_CLASS}]*(?i:{'|'.join(t for t in tokens if t)})?[{WS_CLASS}]*\z"
 
 
-# Characters deleted from a column name.
-NAME_NOISE = ".()%/-"
+def q(name: str) -> str:
+    """Column reference by exact name, even when the name holds dots or spaces."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def literal(value: str) -> str:
+    """SQL string literal; control and non-ASCII characters as escapes."""
+    plain = "".join(
+        ch if " " <= ch < "\x7f" and ch not in "'\\" else f"\\u{ord(ch):04x}" for ch in value
+    )
+    return f"'{plain}'"
 
 
-def named(name: str) -> Column:
-    """Column by its exact name, even when the name holds dots or spaces."""
-    return F.col("`" + name.replace("`", "``") + "`")
+def matches(c: str, pattern: str) -> str:
+    return f"({c} RLIKE r'{pattern}')"
 
 
-def strip(c: Column) -> Column:
+def strip(c: str) -> str:
     """Trim every Unicode white-space character from both ends.
 
     Few cells have any, so one cheap match decides whether the trim runs at all.
     """
-    return F.when(c.rlike(_PADDED), F.btrim(c, F.lit(WHITESPACE))).otherwise(c)
+    return f"CASE WHEN {matches(c, _PADDED)} THEN btrim({c}, {literal(WHITESPACE)}) ELSE {c} END"
 
 
-def upper_trim(c: Column) -> Column:
-    return F.upper(strip(c))
+def upper_trim(c: str) -> str:
+    return f"upper({strip(c)})"
 
 
-def canon(c: Column) -> Column:
+def canon(c: str) -> str:
     """Canonical text for hashing: null becomes '', else stripped and upper-cased."""
-    return upper_trim(F.coalesce(c, F.lit("")))
+    return f"coalesce({upper_trim(c)}, '')"
+
+
+def or_empty(c: str) -> str:
+    return f"coalesce({c}, '')"
 
 
-def empty_to_null(c: Column) -> Column:
-    return F.nullif(c, F.lit(""))
+def empty_to_null(c: str) -> str:
+    return f"nullif({c}, '')"
 
 
-def is_blank(c: Column) -> Column:
+def is_blank(c: str) -> str:
     """Cell is null or one of the blank tokens after strip."""
-    return c.isNull() | c.rlike(_padded_token(BLANK_TOKENS))
+    return f"({c} IS NULL OR {matches(c, _padded_token(BLANK_TOKENS))})"
 
 
-def is_non_empty(c: Column) -> Column:
+def is_non_empty(c: str) -> str:
     """Cell holds content. Unlike `is_blank`, 'n/a' is empty and 'nat' is content."""
-    return c.isNotNull() & ~c.rlike(_padded_token(EMPTY_TOKENS))
+    return f"({c} IS NOT NULL AND NOT {matches(c, _padded_token(EMPTY_TOKENS))})"
 
 
-def has_id(c: Column) -> Column:
+def has_id(c: str) -> str:
     """Id present: not the empty text after strip. A null id passes."""
-    return c.isNull() | ~c.rlike(_padded_token(("",)))
+    return f"({c} IS NULL OR NOT {matches(c, _padded_token(('',)))})"
 
 
 def snake_case(name: str) -> str:

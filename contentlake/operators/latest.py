@@ -19,7 +19,7 @@ def latest_per_key(df: DataFrame, keys: list[Column], order: list[Column]) -> Da
 
 
 def _key_text(name: str) -> Column:
-    return upper_trim(F.coalesce(F.col(name), F.lit("")))
+    return F.expr(upper_trim(f"coalesce({name}, '')"))
 
 
 def _newest(*tie_breaks: str) -> list[Column]:
@@ -28,7 +28,7 @@ def _newest(*tie_breaks: str) -> list[Column]:
 
 def latest_video(bronze: DataFrame, tie_breaks: tuple[str, ...] = ("row_hash_raw",)) -> DataFrame:
     keys = [
-        upper_trim(F.col("toko")),
+        F.expr(upper_trim("toko")),
         _key_text("id_kreator"),
         _key_text("id_video"),
         F.to_date("tanggal"),
@@ -39,7 +39,7 @@ def latest_video(bronze: DataFrame, tie_breaks: tuple[str, ...] = ("row_hash_raw
 def latest_production(
     bronze: DataFrame, tie_breaks: tuple[str, ...] = ("row_hash_raw",)
 ) -> DataFrame:
-    keys = [upper_trim(F.col("akun")), _key_text("id_konten"), F.to_date("tanggal")]
+    keys = [F.expr(upper_trim("akun")), _key_text("id_konten"), F.to_date("tanggal")]
     return latest_per_key(bronze, keys, _newest(*tie_breaks))
 
 

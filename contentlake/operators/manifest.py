@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from contentlake.functions.dates import day_text, error_date
-from contentlake.functions.text import MANIFEST_EMPTY_TOKENS, named, strip
+from contentlake.functions.text import MANIFEST_EMPTY_TOKENS, literal, q, strip
 
 KEY = ("sheet_name", "creds", "error_date")
 OPEN, FIXED = "open", "fixed"
@@ -32,7 +32,7 @@ PART_SIZE = 10_000
 
 def _keyed_errors(errors: DataFrame) -> DataFrame:
     """Errors with `error_date`, from the parsed primary date `_date_0`."""
-    return errors.withColumn("error_date", error_date(F.col("_date_0"))).filter(
+    return errors.withColumn("error_date", F.expr(error_date("_date_0"))).filter(
         F.col("sheet_name").isNotNull() & F.col("creds").isNotNull()
     )
 
@@ -65,7 +65,7 @@ def bad_values(errors: DataFrame, candidates: list[str], affected: Column) -> Da
     cells = F.explode(
         F.array(
             *[
-                F.struct(F.lit(c).alias("name"), strip(named(c)).alias("value"))
+                F.expr(f"named_struct('name', {literal(c)}, 'value', {strip(q(c))})")
                 for c in candidates
             ]
         )
@@ -103,7 +103,7 @@ def bad_value_parts(values: DataFrame, part_size: int = PART_SIZE) -> DataFrame:
 
 def valid_counts(valid: DataFrame, date: str) -> DataFrame:
     """Valid rows per (sheet_name, creds, day)."""
-    return valid.groupBy("sheet_name", "creds", day_text(named(date)).alias("error_date")).agg(
+    return valid.groupBy("sheet_name", "creds", F.expr(day_text(q(date))).alias("error_date")).agg(
         F.count(F.lit(1)).alias("n_valid")
     )
 
@@ -165,11 +165,11 @@ def flag_recovered(valid: DataFrame, resolved: DataFrame, date: str) -> DataFram
     on = (
         (F.col("sheet_name") == F.col("_sheet_name"))
         & (F.col("creds") == F.col("_creds"))
-        & (day_text(named(date)) == F.col("_error_date"))
+        & (F.expr(day_text(q(date))) == F.col("_error_date"))
     )
-    names = [named(c) for c in valid.columns]
-    return valid.join(keys, on, "left").select(
-        *names, F.coalesce("is_recovered", F.lit(False)).alias("is_recovered")
+    names = [q(c) for c in valid.columns]
+    return valid.join(keys, on, "left").selectExpr(
+        *names, "coalesce(is_recovered, false) AS is_recovered"
     )
 
 

@@ -7,10 +7,8 @@ a full outer equi-join; `sources.tables` writes the touched partitions back.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
-from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from contentlake.functions.text import upper_trim
@@ -34,14 +32,20 @@ class MergeSpec:
     blank_keys: tuple[str, ...]  # matched as coalesce(key, '')
     clean_target: tuple[str, ...] = ()  # keys upper-trimmed on the target side
 
-    def key(self, name: str, target: bool, null_safe: bool) -> Column:
-        c = F.col(f"_t_{name}" if target else f"_s_{name}")
-        if target and name in self.clean_target:
+    def key(self, name: str, side: str, null_safe: bool) -> str:
+        c = f"{side}.{name}"
+        if side == "t" and name in self.clean_target:
             c = upper_trim(c)
-        if name in self.blank_keys or (null_safe and name not in ("tanggal",)):
-            c = F.coalesce(c, F.lit(""))
+        if name in self.blank_keys or (null_safe and name != "tanggal"):
+            c = f"coalesce({c}, '')"
         return c
 
+    def match(self, null_safe: bool) -> str:
+        keys = (*self.exact_keys, *self.blank_keys)
+        return " AND ".join(
+            f"{self.key(k, 't', null_safe)} = {self.key(k, 's', null_safe)}" for k in keys
+        )
+
 
 VIDEO_MERGE = MergeSpec(
     columns=(*SILVER_VIDEO_COLUMNS, *LINEAGE, HASH),
@@ -67,38 +71,22 @@ def merge_plan(
     (in the default mode such rows are inserted again by every merge).
     """
     columns = [c for c in spec.columns if c in source.columns]
-    t = target.select(*[F.col(c).alias(f"_t_{c}") for c in columns], F.lit(True).alias("_in_t"))
-    s = source.select(*[F.col(c).alias(f"_s_{c}") for c in columns], F.lit(True).alias("_in_s"))
-
-    on = reduce(
-        and_,
-        [
-            spec.key(k, target=True, null_safe=null_safe)
-            == spec.key(k, target=False, null_safe=null_safe)
-            for k in (*spec.exact_keys, *spec.blank_keys)
-        ],
-    )
+    t = target.selectExpr(*columns, "true AS in_t").alias("t")
+    s = source.selectExpr(*columns, "true AS in_s").alias("s")
     # A null hash on either side compares to null: no update.
-    changed = F.col(f"_t_{HASH}") != F.col(f"_s_{HASH}")
     action = (
-        F.when(F.col("_in_t").isNull(), INSERT)
-        .when(F.col("_in_s").isNull(), KEEP)
-        .when(changed, UPDATE)
-        .otherwise(UNCHANGED)
+        f"CASE WHEN in_t IS NULL THEN '{INSERT}' WHEN in_s IS NULL THEN '{KEEP}' "
+        f"WHEN t.{HASH} <> s.{HASH} THEN '{UPDATE}' ELSE '{UNCHANGED}' END AS action"
     )
 
-    def result(c: str) -> Column:
-        old, new = F.col(f"_t_{c}"), F.col(f"_s_{c}")
-        take_new = F.lit(INSERT) if c in spec.keys else None
-        pick = (
-            F.col("action") == take_new
-            if take_new is not None
-            else F.col("action").isin(INSERT, UPDATE)
-        )
-        return F.when(pick, new).otherwise(old).alias(c)
+    def result(c: str) -> str:
+        takes = f"action = '{INSERT}'" if c in spec.keys else f"action IN ('{INSERT}', '{UPDATE}')"
+        return f"if({takes}, s.{c}, t.{c}) AS {c}"
 
-    joined = t.join(s, on, "full_outer").withColumn("action", action)
-    return joined.select(*[result(c) for c in columns], "action")
+    joined = t.join(s, F.expr(spec.match(null_safe)), "full_outer")
+    return joined.selectExpr("t.*", "s.*", action).selectExpr(
+        *[result(c) for c in columns], "action"
+    )
 
 
 def merge_actions(plan: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from contentlake.functions.text import named, snake_case
+from contentlake.functions.text import q, snake_case
 
 
 def snake_case_columns(df: DataFrame) -> DataFrame:
@@ -15,7 +15,7 @@ def snake_case_columns(df: DataFrame) -> DataFrame:
     chosen: dict[str, str] = {}
     for name in df.columns:
         chosen.setdefault(snake_case(name), name)
-    return df.select(*[named(old).alias(new) for new, old in chosen.items()])
+    return df.selectExpr(*[f"{q(old)} AS {q(new)}" for new, old in chosen.items()])
 
 
 def find_column(df: DataFrame, snake_name: str) -> str:

@@ -13,19 +13,18 @@ Error flags are bit masks so that the affected columns of a batch are one
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import and_
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from contentlake.functions.dates import parse_mixed_dates
 from contentlake.functions.numbers import clean_number, is_numeric_corrupt, is_percent_corrupt
-from contentlake.functions.text import has_id, is_blank, is_non_empty, named
+from contentlake.functions.text import has_id, is_blank, is_non_empty, literal, q
 from contentlake.operators.naming import find_column
 from contentlake.specs import ERROR_REASON, ORDINAL, TAGS, DatasetSpec
 
 FLAGS = ("_bad_cells", "_bad_dates", "_blank")
+IS_ERROR = "((_bad_cells <> 0 OR _bad_dates <> 0) AND NOT _blank)"
+IS_VALID = "(NOT _blank AND _bad_cells = 0 AND _bad_dates = 0)"
 
 
 def present(df: DataFrame, names: tuple[str, ...]) -> list[str]:
@@ -41,70 +40,57 @@ def checked_cells(df: DataFrame, spec: DatasetSpec) -> list[str]:
     return present(df, spec.numeric_columns) + present(df, spec.percent_columns)
 
 
-def _bits(flags: list[Column]) -> Column:
-    masks = [F.when(f, F.lit(1 << i)).otherwise(F.lit(0)) for i, f in enumerate(flags)]
-    return reduce(lambda a, b: a.bitwiseOR(b), masks, F.lit(0)).cast("bigint")
+def _bits(flags: list[str]) -> str:
+    return " | ".join(["0L", *[f"if({flag}, {1 << i}L, 0L)" for i, flag in enumerate(flags)]])
 
 
-def _names_of(mask: Column, names: list[str]) -> Column:
-    hit = [F.when(mask.bitwiseAND(1 << i) != 0, F.lit(n)) for i, n in enumerate(names)]
-    return F.array_compact(F.array(*hit)) if hit else F.array().cast("array<string>")
+def _names_of(mask: str, names: list[str]) -> str:
+    """SQL array of the names whose bit is set in `mask`."""
+    hits = [f"if(({mask} & {1 << i}L) <> 0, {literal(n)}, NULL)" for i, n in enumerate(names)]
+    return f"array_compact(array({', '.join(hits)}))" if hits else "cast(array() as array<string>)"
 
 
 def rows_with_id(df: DataFrame, spec: DatasetSpec) -> DataFrame:
-    return df.filter(has_id(named(find_column(df, spec.id_column))))
+    return df.filter(has_id(q(find_column(df, spec.id_column))))
 
 
-def blank_row(df: DataFrame, extra_tags: tuple[str, ...] = ()) -> Column:
+def blank_row(df: DataFrame, extra_tags: tuple[str, ...] = ()) -> str:
     """True when every column that is not a tag is blank."""
     ignore = {*TAGS, *ORDINAL, ERROR_REASON, *extra_tags}
-    cells = [is_blank(named(c)) for c in df.columns if c not in ignore]
-    return reduce(and_, cells) if cells else F.lit(False)
+    cells = [is_blank(q(c)) for c in df.columns if c not in ignore]
+    return f"({' AND '.join(cells)})" if cells else "false"
 
 
 def annotate(df: DataFrame, spec: DatasetSpec, extra_tags: tuple[str, ...] = ()) -> DataFrame:
     dates = date_names(df, spec)
-    cells = [is_numeric_corrupt(named(c)) for c in present(df, spec.numeric_columns)]
-    cells += [is_percent_corrupt(named(c)) for c in present(df, spec.percent_columns)]
-    parsed = df.select(
+    cells = [is_numeric_corrupt(q(c)) for c in present(df, spec.numeric_columns)]
+    cells += [is_percent_corrupt(q(c)) for c in present(df, spec.percent_columns)]
+    parsed = df.selectExpr(
         "*",
-        _bits(cells).alias("_bad_cells"),
-        blank_row(df, extra_tags).alias("_blank"),
-        *[parse_mixed_dates(named(d)).alias(f"_date_{i}") for i, d in enumerate(dates)],
+        f"{_bits(cells)} AS _bad_cells",
+        f"{blank_row(df, extra_tags)} AS _blank",
+        *[f"{parse_mixed_dates(q(d))} AS _date_{i}" for i, d in enumerate(dates)],
     )
     # A missing primary date is always an error, a secondary one only if its cell
     # holds content.
     failed = [
-        F.col(f"_date_{i}").isNull() & (F.lit(True) if i == 0 else is_non_empty(named(d)))
+        f"_date_{i} IS NULL" + (f" AND {is_non_empty(q(d))}" if i else "")
         for i, d in enumerate(dates)
     ]
-    return parsed.withColumn("_bad_dates", _bits(failed))
-
-
-def is_error() -> Column:
-    return ((F.col("_bad_cells") != 0) | (F.col("_bad_dates") != 0)) & ~F.col("_blank")
-
-
-def is_valid() -> Column:
-    return ~F.col("_blank") & (F.col("_bad_cells") == 0) & (F.col("_bad_dates") == 0)
+    return parsed.selectExpr("*", f"{_bits(failed)} AS _bad_dates")
 
 
 def helper_columns(spec: DatasetSpec) -> list[str]:
     return [*FLAGS, *[f"_date_{i}" for i in range(len(spec.date_columns))]]
 
 
-def error_reason(dates: list[str]) -> Column:
-    numeric = F.when(F.col("_bad_cells") != 0, F.lit("numeric_mixed"))
+def error_reason(dates: list[str]) -> str:
     failed = [
-        F.when(
-            F.col("_bad_dates").bitwiseAND(1 << i) != 0,
-            F.concat(
-                F.lit(f"date_unparsable({d}="), F.coalesce(named(d), F.lit("nan")), F.lit(")")
-            ),
-        )
+        f"if((_bad_dates & {1 << i}L) <> 0, "
+        f"concat({literal(f'date_unparsable({d}=')}, coalesce({q(d)}, 'nan'), ')'), NULL)"
         for i, d in enumerate(dates)
     ]
-    return F.concat_ws("|", numeric, *failed)
+    return f"concat_ws('|', if(_bad_cells <> 0, 'numeric_mixed', NULL), {', '.join(failed)})"
 
 
 def valid_rows(annotated: DataFrame, spec: DatasetSpec) -> DataFrame:
@@ -113,50 +99,51 @@ def valid_rows(annotated: DataFrame, spec: DatasetSpec) -> DataFrame:
     parsed = {d: f"_date_{i}" for i, d in enumerate(date_names(annotated, spec))}
     helpers = set(helper_columns(spec))
 
-    def cell(name: str) -> Column:
+    def cell(name: str) -> str:
         if name in parsed:
-            return F.col(parsed[name]).alias(name)
+            return f"{parsed[name]} AS {q(name)}"
         if name in numeric:
-            return clean_number(named(name)).alias(name)
-        return named(name)
+            return f"{clean_number(q(name))} AS {q(name)}"
+        return q(name)
 
-    return annotated.filter(is_valid()).select(
+    return annotated.filter(IS_VALID).selectExpr(
         *[cell(c) for c in annotated.columns if c not in helpers]
     )
 
 
 def error_rows(annotated: DataFrame, spec: DatasetSpec, keep_date: bool = False) -> DataFrame:
     """Quarantine rows: the raw cells plus `error_reason` (and the parsed primary date)."""
-    dates = date_names(annotated, spec)
     helpers = set(helper_columns(spec))
-    raw = [named(c) for c in annotated.columns if c not in helpers]
-    date = [F.col("_date_0")] if keep_date else []
-    return annotated.filter(is_error()).select(
-        *raw, *date, error_reason(dates).alias(ERROR_REASON)
+    raw = [q(c) for c in annotated.columns if c not in helpers]
+    reason = error_reason(date_names(annotated, spec))
+    return annotated.filter(IS_ERROR).selectExpr(
+        *raw, *(["_date_0"] if keep_date else []), f"{reason} AS {ERROR_REASON}"
     )
 
 
-def affected_columns(annotated: DataFrame, spec: DatasetSpec) -> Column:
+def affected_columns(annotated: DataFrame, spec: DatasetSpec) -> str:
     """Aggregate: names of all columns with a flagged cell, numeric, percent, dates."""
-    return F.concat(
-        _names_of(F.bit_or("_bad_cells"), checked_cells(annotated, spec)),
-        _names_of(F.bit_or("_bad_dates"), date_names(annotated, spec)),
-    )
+    cells = _names_of("bit_or(_bad_cells)", checked_cells(annotated, spec))
+    dates = _names_of("bit_or(_bad_dates)", date_names(annotated, spec))
+    return f"concat({cells}, {dates})"
+
+
+def affected_list(annotated: DataFrame, spec: DatasetSpec) -> DataFrame:
+    """The batch-wide affected columns as one row holding one array."""
+    return annotated.selectExpr(f"{affected_columns(annotated, spec)} AS affected_columns")
 
 
 def validation_report(annotated: DataFrame, spec: DatasetSpec) -> DataFrame:
     """One row of counters; partial aggregates only, state size fixed."""
-    corrupt_date = F.when(F.col("_bad_cells") != 0, F.col("_date_0"))
-    return annotated.agg(
-        F.coalesce(F.bool_or(is_error()), F.lit(False)).alias("has_changes"),
-        F.coalesce(
-            affected_columns(annotated, spec), F.array().cast("array<string>")
-        ).alias("affected_columns"),
-        F.min(corrupt_date).alias("first_affected_date"),
-        F.max(corrupt_date).alias("last_affected_date"),
-        F.count_if(is_error()).alias("n_bad_rows"),
-        F.count_if(F.col("_bad_dates") != 0).alias("n_date_errors"),
-        F.count_if(F.col("_blank")).alias("n_blank_rows"),
+    return annotated.selectExpr(
+        f"coalesce(bool_or({IS_ERROR}), false) AS has_changes",
+        f"coalesce({affected_columns(annotated, spec)}, cast(array() AS array<string>)) "
+        "AS affected_columns",
+        "min(if(_bad_cells <> 0, _date_0, NULL)) AS first_affected_date",
+        "max(if(_bad_cells <> 0, _date_0, NULL)) AS last_affected_date",
+        f"count_if({IS_ERROR}) AS n_bad_rows",
+        "count_if(_bad_dates <> 0) AS n_date_errors",
+        "count_if(_blank) AS n_blank_rows",
     )
 
 
@@ -169,6 +156,6 @@ def affected_dates(annotated: DataFrame) -> DataFrame:
     )
 
 
-def is_integral(c: Column) -> Column:
+def is_integral(c: str) -> str:
     """Aggregate: every value is whole. A profile only; it never changes a type."""
-    return F.coalesce(F.bool_and(c % 1 == 0), F.lit(True))
+    return f"coalesce(bool_and({c} % 1 = 0), true)"

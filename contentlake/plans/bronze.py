@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, StringType
 
 from contentlake.functions.dates import parse_mixed_dates, second_text
 from contentlake.functions.hashes import row_hash
 from contentlake.functions.numbers import MONEY, clean_number, plain_number, round_half_even
-from contentlake.functions.text import canon, empty_to_null, has_id, snake_case
+from contentlake.functions.text import canon, empty_to_null, has_id, or_empty, q, snake_case
 from contentlake.operators.latest import first_by_hash
 from contentlake.operators.naming import drop_columns, snake_case_columns
 from contentlake.operators.validate import present
@@ -33,27 +33,27 @@ def _typed(df: DataFrame, spec: DatasetSpec) -> DataFrame:
     """Dates parsed if they still are text (parsing twice changes nothing)."""
     text = {f.name for f in df.schema.fields if isinstance(f.dataType, StringType)}
     return df.withColumns(
-        {d: parse_mixed_dates(F.col(d)) for d in spec.date_columns if d in text}
+        {d: F.expr(parse_mixed_dates(q(d))) for d in spec.date_columns if d in text}
     )
 
 
-def hash_part(df: DataFrame, name: str) -> Column:
+def hash_part(df: DataFrame, name: str) -> str:
     """Canonical text of one hash input: fixed per type, whatever the batch holds."""
     kind = df.schema[name].dataType
     if isinstance(kind, StringType):
-        return canon(F.col(name))
+        return canon(q(name))
     if isinstance(kind, DecimalType):
-        return F.coalesce(plain_number(F.col(name)), F.lit(""))
-    return F.coalesce(second_text(F.col(name)), F.lit(""))
+        return or_empty(plain_number(q(name)))
+    return or_empty(second_text(q(name)))
 
 
-def row_hash_raw(df: DataFrame, spec: DatasetSpec) -> Column:
+def row_hash_raw(df: DataFrame, spec: DatasetSpec) -> str:
     return row_hash(*[hash_part(df, c) for c in spec.hash_columns])
 
 
-def _whole(df: DataFrame, name: str) -> Column:
-    c = F.col(name)
-    return round_half_even(clean_number(c) if isinstance(df.schema[name].dataType, StringType) else c)
+def _whole(df: DataFrame, name: str) -> str:
+    is_text = isinstance(df.schema[name].dataType, StringType)
+    return round_half_even(clean_number(q(name)) if is_text else q(name))
 
 
 def build_bronze(
@@ -62,20 +62,22 @@ def build_bronze(
     """Snapshot rows of one run. Stamps are arguments, so a repeated run gives the same rows."""
     df = _typed(snake_case_columns(valid), spec)
     if spec.id_column not in spec.date_columns:
-        df = df.filter(has_id(F.col(spec.id_column)))
+        df = df.filter(has_id(q(spec.id_column)))
     df = drop_columns(df, spec.drop_columns)
     if spec.empty_text_is_null:
-        text = [f.name for f in df.schema.fields if isinstance(f.dataType, StringType)]
-        df = df.withColumns({c: empty_to_null(F.col(c)) for c in text})
+        text = {f.name for f in df.schema.fields if isinstance(f.dataType, StringType)}
+        df = df.selectExpr(
+            *[f"{empty_to_null(q(c))} AS {q(c)}" if c in text else q(c) for c in df.columns]
+        )
 
     counts = set(present(df, spec.count_columns))
     stamp = utc(run_ts)
     return df.select(
-        *[(_whole(df, c) if c in counts else F.col(c)).alias(c) for c in df.columns],
+        *[F.expr(f"{_whole(df, c)} AS {q(c)}" if c in counts else q(c)) for c in df.columns],
         F.lit(stamp).alias("snapshot_ts"),
         F.lit(stamp.date()).alias("snapshot_date"),
         F.lit(run_id).alias("run_id"),
-        row_hash_raw(df, spec).alias("row_hash_raw"),
+        F.expr(row_hash_raw(df, spec)).alias("row_hash_raw"),
     )
 
 

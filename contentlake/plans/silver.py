@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
@@ -15,7 +15,7 @@ from contentlake.functions.numbers import (
     safe_long,
     safe_money,
 )
-from contentlake.functions.text import strip, upper_trim
+from contentlake.functions.text import or_empty, strip, upper_trim
 from contentlake.operators.latest import latest_production, latest_video
 from contentlake.specs import (
     LINEAGE,
@@ -50,14 +50,8 @@ SILVER_PRODUCTION_SCHEMA = _ddl(
 )
 
 
-def _count(df: DataFrame, name: str) -> Column:
-    c = F.col(name)
-    return c.cast("bigint") if isinstance(df.schema[name].dataType, NumericType) else safe_long(c)
-
-
-def _money(df: DataFrame, name: str) -> Column:
-    c = F.col(name)
-    return c.try_cast(MONEY) if isinstance(df.schema[name].dataType, NumericType) else safe_money(c)
+def _is_number(df: DataFrame, name: str) -> bool:
+    return isinstance(df.schema[name].dataType, NumericType)
 
 
 def _lineage(df: DataFrame) -> list[str]:
@@ -65,78 +59,64 @@ def _lineage(df: DataFrame) -> list[str]:
 
 
 def silver_video_base(latest: DataFrame, decimal_comma: bool = False) -> DataFrame:
-    renamed: dict[str, Column] = {}
+    cells = {c: upper_trim(c) for c in SILVER_VIDEO_COLUMNS}
+    cells |= {"tanggal": "to_date(tanggal)", "waktu": "waktu"}
     for raw, name in SILVER_VIDEO_COUNTS.items():
-        renamed[name] = _count(latest, raw)
+        cells[name] = f"CAST({raw} AS bigint)" if _is_number(latest, raw) else safe_long(raw)
     for raw, name in SILVER_VIDEO_MONEY.items():
-        renamed[name] = _money(latest, raw)
+        as_money = f"try_cast({raw} AS {MONEY})"
+        cells[name] = as_money if _is_number(latest, raw) else safe_money(raw)
     for raw, name in SILVER_VIDEO_RATIOS.items():
-        renamed[name] = percent_to_fraction(F.col(raw), decimal_comma)
-    renamed["tanggal"] = F.to_date("tanggal")
-    renamed["waktu"] = F.col("waktu")
-    return latest.select(
-        *[renamed.get(c, upper_trim(F.col(c))).alias(c) for c in SILVER_VIDEO_COLUMNS],
-        *_lineage(latest),
-    )
+        cells[name] = percent_to_fraction(raw, decimal_comma)
+    return latest.selectExpr(*[f"{e} AS {c}" for c, e in cells.items()], *_lineage(latest))
 
 
 def silver_production_base(latest: DataFrame) -> DataFrame:
-    own = {
-        "tanggal": F.col("tanggal").cast("timestamp_ntz"),
-        "tanggal_jadi": F.col("tanggal_jadi").cast("timestamp_ntz"),
-        "link_konten": strip(F.col("link_konten")),  # links keep their case
+    cells = {c: upper_trim(c) for c in SILVER_PRODUCTION_COLUMNS}
+    cells |= {
+        "tanggal": "CAST(tanggal AS timestamp_ntz)",
+        "tanggal_jadi": "CAST(tanggal_jadi AS timestamp_ntz)",
+        "link_konten": strip("link_konten"),  # links keep their case
     }
-    return latest.select(
-        *[own.get(c, upper_trim(F.col(c))).alias(c) for c in SILVER_PRODUCTION_COLUMNS],
-        *_lineage(latest),
-    )
+    return latest.selectExpr(*[f"{e} AS {c}" for c, e in cells.items()], *_lineage(latest))
 
 
-def _or_empty(name: str) -> Column:
-    return F.coalesce(F.col(name), F.lit(""))
-
-
-def row_hash_clean_video(base: DataFrame) -> Column:
+def row_hash_clean_video() -> str:
     """A null toko, waktu or number drops out together with its separator."""
-    numbers = [*SILVER_VIDEO_COUNTS.values(), *SILVER_VIDEO_MONEY.values(), *SILVER_VIDEO_RATIOS.values()]
-
-    def text(name: str) -> Column:
-        c = F.col(name)
-        # Doubles go through decimal(38,9): their own text form differs between engines.
-        return c.cast("string") if name in SILVER_VIDEO_COUNTS.values() else plain_number(c)
-
+    text = ("id_kreator", "id_video", "nama_kreator", "informasi_video", "produk")
+    counts = SILVER_VIDEO_COUNTS.values()
+    # Doubles go through decimal(38,9): their own text form differs between engines.
+    fractional = (*SILVER_VIDEO_MONEY.values(), *SILVER_VIDEO_RATIOS.values())
     return row_hash(
-        day_text(F.col("tanggal")),
-        F.col("toko"),
-        *[
-            _or_empty(c)
-            for c in ("id_kreator", "id_video", "nama_kreator", "informasi_video", "produk")
-        ],
-        second_text(F.col("waktu")),
-        *[text(n) for n in numbers],
+        day_text("tanggal"),
+        "toko",
+        *[or_empty(c) for c in text],
+        second_text("waktu"),
+        *[f"CAST({c} AS string)" for c in counts],
+        *[plain_number(c) for c in fractional],
     )
 
 
-def row_hash_clean_production(base: DataFrame) -> Column:
+def row_hash_clean_production() -> str:
     """A null date or akun drops out together with its separator."""
     special = {
-        "tanggal": second_text(F.col("tanggal")),
-        "tanggal_jadi": second_text(F.col("tanggal_jadi")),
-        "akun": F.col("akun"),
+        "tanggal": second_text("tanggal"),
+        "tanggal_jadi": second_text("tanggal_jadi"),
+        "akun": "akun",
     }
-    return row_hash(*[special.get(c, _or_empty(c)) for c in PRODUCTION_HASH_COLUMNS])
+    return row_hash(*[special.get(c, or_empty(c)) for c in PRODUCTION_HASH_COLUMNS])
 
 
 def silver_video(bronze: DataFrame, decimal_comma: bool = False) -> DataFrame:
     """Merge source of the video table: one row per key."""
     base = silver_video_base(latest_video(bronze), decimal_comma)
-    return base.withColumn("row_hash_clean", row_hash_clean_video(base))
+    return base.withColumn("row_hash_clean", F.expr(row_hash_clean_video()))
 
 
 def silver_production(bronze: DataFrame) -> DataFrame:
     """Merge source of the production table: one row per key and day."""
     base = silver_production_base(latest_production(bronze))
-    return base.withColumn("row_hash_clean", row_hash_clean_production(base))
+    return base.withColumn("row_hash_clean", F.expr(row_hash_clean_production()))
 
 
 def changed_since(bronze: DataFrame, since, unmatched_key: str) -> DataFrame:
