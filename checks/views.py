@@ -21,6 +21,7 @@ from contentlake.operators.latest import first_by_hash
 from contentlake.operators.validate import annotate, rows_with_id, valid_rows
 from contentlake.plans.bronze import build_bronze
 from contentlake.plans.silver import silver_production, silver_video
+from contentlake.sources.files import scratch_dir
 from contentlake.specs import PRODUCTION, VIDEO, DatasetSpec
 
 VIDEO_DROPPED = ("gmv_video_rp", "diagnosis")
@@ -257,13 +258,14 @@ def from_sql(spark: SparkSession, sf_dir: str, sql: str, *tables: str) -> DataFr
 _STAGED: dict[tuple[str, str, str], str] = {}
 
 
+_OWN_ROOT: list[str] = []
+
+
 def scratch_root(spark: SparkSession) -> str:
     """`spark.checkpoint.dir` of the session; a folder of its own only where unset."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root is None:
-        root = tempfile.mkdtemp(prefix="contentlake-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    if not _OWN_ROOT and spark.conf.get("spark.checkpoint.dir", None) is None:
+        _OWN_ROOT.append(tempfile.mkdtemp(prefix="contentlake-"))
+    return scratch_dir(spark, _OWN_ROOT[0] if _OWN_ROOT else "")
 
 
 def staged(

@@ -1,7 +1,8 @@
-"""Versioned state tables: each write is a new directory v=N.
+"""Versioned run state: each commit is a new directory v=N holding all state tables.
 
-A version counts once its job has committed (`_SUCCESS` is there), so a run that dies
-half-way leaves the previous version in force.
+A version counts once its `commit` table is complete, and that one is written last. A run
+that dies half-way leaves the previous version in force, for all tables at once, so the
+same run can simply be started again.
 """
 
 from __future__ import annotations
@@ -10,6 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from contentlake.sources.files import child_names, exists
 
+COMMIT = "commit"
+COMMIT_SCHEMA = "run_id string"
+
 
 def _versions(spark: SparkSession, path: str) -> list[int]:
     names = [n for n in child_names(spark, path) if n.startswith("v=")]
@@ -18,22 +22,32 @@ def _versions(spark: SparkSession, path: str) -> list[int]:
 
 def latest_version(spark: SparkSession, path: str) -> int | None:
     for v in reversed(_versions(spark, path)):
-        if exists(spark, f"{path}/v={v}/_SUCCESS"):
+        if exists(spark, f"{path}/v={v}/{COMMIT}/_SUCCESS"):
             return v
     return None
 
 
-def read_state(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Newest complete version; no state yet is an empty table."""
+def read_state(spark: SparkSession, path: str, table: str, schema: str) -> DataFrame:
+    """`table` as of the newest complete version; no state yet is an empty table."""
     v = latest_version(spark, path)
-    if v is None:
+    if v is None or not exists(spark, f"{path}/v={v}/{table}"):
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(f"{path}/v={v}")
+    return spark.read.schema(schema).parquet(f"{path}/v={v}/{table}")
+
+
+def committed_run(spark: SparkSession, path: str) -> str | None:
+    """Run id of the newest complete version (one row by construction)."""
+    row = read_state(spark, path, COMMIT, COMMIT_SCHEMA).first()
+    return row["run_id"] if row else None
 
 
-def write_state(df: DataFrame, path: str) -> int:
-    """Write the next version and return its number."""
-    spark = df.sparkSession
+def write_state(
+    spark: SparkSession, path: str, tables: dict[str, DataFrame], run_id: str
+) -> int:
+    """Write the next version, its commit record last, and return its number."""
     v = max(_versions(spark, path), default=0) + 1
-    df.write.mode("errorifexists").parquet(f"{path}/v={v}")
+    for name, df in tables.items():
+        df.write.mode("errorifexists").parquet(f"{path}/v={v}/{name}")
+    commit = spark.createDataFrame([(run_id,)], COMMIT_SCHEMA)
+    commit.coalesce(1).write.mode("errorifexists").parquet(f"{path}/v={v}/{COMMIT}")
     return v

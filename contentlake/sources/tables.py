@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from contentlake.operators.merge import INSERT, UPDATE, MergeSpec, merge_plan
 from contentlake.sources.files import has_files
 
-_DAY = "_day"
+_DAY = "day_key"  # a name with a leading underscore would count as hidden
 
 
 def write_partitions(df: DataFrame, path: str, by: tuple[str, ...]) -> None:
