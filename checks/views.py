@@ -279,7 +279,10 @@ def staged(
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _STAGED:
         path = f"{scratch_root(spark)}/{uuid.uuid4().hex}/{name}"
-        build().write.parquet(path)
+        # As many files as cores: the driver tables are one file each, which would leave
+        # everything downstream in one task.
+        files = spark.sparkContext.defaultParallelism
+        build().repartition(files).write.parquet(path)
         _STAGED[key] = path
     return spark.read.parquet(_STAGED[key])
 
