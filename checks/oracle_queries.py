@@ -156,7 +156,7 @@ ORACLES: dict[str, str] = {
     "upper_trim": RAW
     + f"""SELECT row_idx, {o.upper_trim('toko')} AS toko,
   {o.upper_trim('informasi_video')} AS informasi_video FROM rv""",
-    "strip_text_hash": f"""SELECT doc_id, length({o.strip('text')}) AS n_chars_stripped,
+    "strip_text_hash": f"""SELECT doc_id, CAST(length({o.strip('text')}) AS INTEGER) AS n_chars_stripped,
   {o.sha('lang', o.strip('text'))} AS text_hash FROM documents""",
     "empty_to_null": RAW
     + "SELECT row_idx, "
