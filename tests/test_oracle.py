@@ -8,7 +8,8 @@ from collections import Counter
 import duckdb
 import pytest
 
-from __spark_entry__ import oracle_sql, queries
+from checks.oracle_queries import ORACLES
+from checks.queries import QUERIES
 
 SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 TABLES = ("events", "orders", "lineitem", "documents")
@@ -32,14 +33,14 @@ def _bag(columns, rows):
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, duck, name):
-    df = queries()[name](spark, SF_DIR)
+    df = QUERIES[name](spark, SF_DIR)
     got = _bag(df.columns, df.collect())
-    cur = duck.execute(oracle_sql()[name])
+    cur = duck.execute(ORACLES[name])
     names = [d[0] for d in cur.description]
     want = _bag(names, cur.fetchall())
     assert sorted(df.columns) == sorted(names)
