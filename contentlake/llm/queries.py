@@ -8,10 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contentlake.llm import mixing, simhash_dedup, token_output
+from contentlake.llm import mixing, quality_rules, secret_scan, simhash_dedup, token_output
 from contentlake.llm.common import table
 
 
+def op4_tokeniser_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = public_tokenizers.path("piece_bpe_32k.model")
+    return quality_rules.judge(table(spark, sf_dir, "documents"), vocabulary)
+
+
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -21,6 +26,10 @@ def op8_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.corpus_tokens(table(spark, sf_dir, "documents"), vocabulary)
 
 
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(table(spark, sf_dir, "documents"))
+
+
 def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select(
         F.col("id").alias("doc_id"),
@@ -32,8 +41,10 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_tokeniser_fertility": op4_tokeniser_fertility,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
     "op8_token_id_output": op8_token_id_output,
+    "op9_secret_scan": op9_secret_scan,
     "op10_source_mix": op10_source_mix,
 }
 
