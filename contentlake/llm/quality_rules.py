@@ -3,8 +3,8 @@
 Base rules: too few words, or too many words in repeated 8-word windows. The method's own:
 characters per token (fertility), share of byte-fallback tokens and token entropy, each held
 against a band of the text's language (its script where no language is given). Bands come
-from the whole corpus: the median and the 5th and 95th percentiles of all documents that
-pass the base rules, widened `spread` times and never narrower than `MARGIN`. Groups of
+from the whole corpus: the distances of the quartiles from the median over all documents
+that pass the base rules, taken `spread` times and never narrower than `MARGIN`. Groups of
 fewer than `min_docs` documents are judged by the band of all documents.
 
 Defined cases: a null, empty or wordless text has zeros, fails the base and is not kept;
@@ -28,10 +28,10 @@ MIN_WORDS = 20
 REPEAT_PERCENT = 30
 SYMBOLS = b"#*$%&|<>"
 BLOCK = 128  # tokens that an entropy is taken over
-SPREAD = 4.0
+SPREAD = 10.0
 MIN_DOCS = 50
 #: Least distance of a band's ends from the median.
-MARGIN = {"chars_per_token": 0.5, "byte_share": 0.1, "entropy": 0.15}
+MARGIN = {"chars_per_token": 0.25, "byte_share": 0.1, "entropy": 0.05}
 _MEASURES = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_tokens long, byte_share double, chars_per_token double, entropy double, script string"
 _CACHED_WORDS = 1 << 19
 _CACHED_BYTES = 64
@@ -164,7 +164,7 @@ def measured(docs: DataFrame, vocabulary: str, id_col: str, text_col: str, lang_
 
 
 def _band(name: str, spread: float):
-    p = F.percentile_approx(name, F.array(F.lit(0.05), F.lit(0.5), F.lit(0.95)), F.lit(1000))
+    p = F.percentile_approx(name, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), F.lit(1000))
     low = p[1] - F.greatest(F.lit(spread) * (p[1] - p[0]), F.lit(MARGIN[name]))
     high = p[1] + F.greatest(F.lit(spread) * (p[2] - p[1]), F.lit(MARGIN[name]))
     return F.struct(low.alias("low"), high.alias("high")).alias(f"{name}_band")

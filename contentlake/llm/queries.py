@@ -8,10 +8,23 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contentlake.llm import mixing, quality_rules, secret_scan, simhash_dedup, token_output
+from contentlake.llm import (
+    language_id,
+    mixing,
+    quality_rules,
+    secret_scan,
+    simhash_dedup,
+    token_counts,
+    token_output,
+)
 from contentlake.llm.common import table
 
 
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return token_counts.section_tokens(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+
+
 def op4_tokeniser_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = public_tokenizers.path("piece_bpe_32k.model")
     return quality_rules.judge(table(spark, sf_dir, "documents"), vocabulary)
@@ -21,6 +34,10 @@ def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents"))
+
+
 def op8_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = public_tokenizers.path("word_bpe_49k.json")
     return token_output.corpus_tokens(table(spark, sf_dir, "documents"), vocabulary)
@@ -41,8 +58,10 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_token_counts": op1_token_counts,
     "op4_tokeniser_fertility": op4_tokeniser_fertility,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
+    "op7_language_id": op7_language_id,
     "op8_token_id_output": op8_token_id_output,
     "op9_secret_scan": op9_secret_scan,
     "op10_source_mix": op10_source_mix,
