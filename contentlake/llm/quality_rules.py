@@ -30,6 +30,7 @@ SYMBOLS = b"#*$%&|<>"
 BLOCK = 128  # tokens that an entropy is taken over
 SPREAD = 10.0
 MIN_DOCS = 50
+MAX_BROADCAST = 10_000  # bands, about 100 bytes each
 #: Least distance of a band's ends from the median.
 MARGIN = {"chars_per_token": 0.25, "byte_share": 0.1, "entropy": 0.05}
 _MEASURES = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_tokens long, byte_share double, chars_per_token double, entropy double, script string"
@@ -193,6 +194,10 @@ def judge(
     rows = staged(measured(docs, vocabulary, id_col, text_col, lang_col).withColumn("base_failed", failed), "measured")
     of_group, of_all = bands(rows.where("not base_failed"), spread, min_docs)
     whole = of_all.first()  # one row
+    of_group = staged(of_group, "bands")
+    # A row per language or script; should a column hold more kinds than that, Spark joins it as it sees fit.
+    if of_group.count() <= MAX_BROADCAST:
+        of_group = F.broadcast(of_group)
     judged = rows.join(of_group, "group", "left")
     inside = F.lit(True)
     for name in MARGIN:

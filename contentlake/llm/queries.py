@@ -9,11 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contentlake.llm import (
+    decontaminate,
     language_id,
+    line_dedup,
     mixing,
     quality_rules,
     secret_scan,
     simhash_dedup,
+    substring_dedup,
     token_counts,
     token_output,
 )
@@ -25,11 +28,25 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.section_tokens(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
 
 
+def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256")
+    )
+
+
 def op4_tokeniser_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = public_tokenizers.path("piece_bpe_32k.model")
     return quality_rules.judge(table(spark, sf_dir, "documents"), vocabulary)
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -59,7 +76,10 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
+    "op2_benchmark_decontamination": op2_benchmark_decontamination,
+    "op3_line_dedup": op3_line_dedup,
     "op4_tokeniser_fertility": op4_tokeniser_fertility,
+    "op5_substring_dedup": op5_substring_dedup,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
     "op7_language_id": op7_language_id,
     "op8_token_id_output": op8_token_id_output,
@@ -67,4 +87,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_source_mix": op10_source_mix,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op3_line_dedup": line_dedup.ORACLE_SQL}

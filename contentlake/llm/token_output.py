@@ -19,6 +19,7 @@ keep all their rows, ordered by text; no documents, no files and no rows.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -33,7 +34,8 @@ from contentlake.llm.common import new_path, pieces, staged, text_bytes
 END_ID = 2
 SEQ_LEN = 2048
 _BATCH = 256  # sequences per record batch
-_CACHED_WORDS = 1 << 19
+_CACHED_WORDS = 1 << 20
+_LETTER_END = re.compile(rb"(?<=[a-z])(?=[.,])")
 _CACHED_BYTES = 64  # longer words are encoded each time
 
 
@@ -41,7 +43,10 @@ class WordEncoder:
     """Ids of whole texts by a tokenizer whose pieces never hold white space.
 
     The vocabulary's own splitter drops white space and never joins across it, so a text's
-    ids are those of its words in order, and a word met again needs no second encoding.
+    ids are those of its words in order, and a word met again needs no second encoding. It
+    lowers case and always parts a letter from a full stop or comma, so doing both
+    beforehand changes no id and leaves fewer different words. Texts that may hold the
+    string of a special token, whose case matters, are left as they are.
     """
 
     def __init__(self, vocabulary: str):
@@ -58,8 +63,9 @@ class WordEncoder:
         return {w: np.array(e.ids, dtype=self.dtype).tobytes() for w, e in zip(fresh, found)}
 
     def encode(self, data: bytes) -> Iterator[bytes]:
+        plain = b"<|" not in data
         for piece in pieces(data):
-            words = piece.split()
+            words = (_LETTER_END.sub(b" ", piece.lower()) if plain else piece).split()
             new = set(words).difference(self.known)
             if new:
                 if len(self.known) > _CACHED_WORDS:
