@@ -47,7 +47,7 @@ def chunks(text: Column, every: int = EVERY) -> Column:
 
 def _rows(docs: DataFrame, id_col: str, text_col: str, every: int) -> DataFrame:
     text = F.coalesce(F.col(text_col), F.lit(""))
-    return docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("row"), F.posexplode(chunks(text, every)).alias("place", "chunk"))
+    return docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("row"), F.posexplode_outer(chunks(text, every)).alias("place", "chunk"))
 
 
 def repeated_chunks(docs: DataFrame, id_col: str, text_col: str, every: int) -> DataFrame:
