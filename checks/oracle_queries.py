@@ -128,8 +128,8 @@ ORACLES: dict[str, str] = {
     "parse_mixed_dates": RAW
     + f"SELECT row_idx, {o.date('tanggal')} AS tanggal, {o.date('waktu')} AS waktu FROM rv",
     "date_parse_failures": RAW
-    + f"""SELECT DISTINCT {o.strip('tanggal')} AS cell FROM rv WHERE {o.date('tanggal')} IS NULL
-  AND {o.strip('tanggal')} NOT IN ('', '-', 'nan', 'None', 'NaT') ORDER BY 1 LIMIT 20""",
+    + f"""SELECT {o.strip('tanggal')} AS cell, count(*) AS n_cells FROM rv WHERE {o.date('tanggal')} IS NULL
+  AND {o.strip('tanggal')} NOT IN ('', '-', 'nan', 'None', 'NaT') GROUP BY 1""",
     "excel_serial_date": RAW
     + f"""SELECT row_idx, CASE WHEN regexp_full_match({o.strip('tanggal')}, '[0-9]{{3,6}}')
   AND CAST(regexp_extract({o.strip('tanggal')}, '^[0-9]+') AS INTEGER) BETWEEN 2 AND 73415

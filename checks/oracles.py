@@ -84,7 +84,7 @@ def number(c: str) -> str:
     t = number_text(c)
     return (
         f"CASE WHEN regexp_full_match({t}, '[0-9]+[.]?[0-9]*|[.][0-9]+') "
-        f"THEN CAST({t} AS DECIMAL(38,9)) END"
+        f"THEN TRY_CAST({t} AS DECIMAL(38,9)) END"
     )
 
 
@@ -95,7 +95,8 @@ def clean_number(c: str) -> str:
 def numeric_corrupt(c: str) -> str:
     bad = r"[^0-9.,Rp\s\x{a0}#-]"
     return (
-        f"({non_empty(c)} AND (regexp_matches({strip(c)}, '{bad}') OR {number(strip(c))} IS NULL))"
+        f"({non_empty(c)} AND (regexp_matches({strip(c)}, '{bad}') OR {number(strip(c))} IS NULL "
+        f"OR TRY_CAST(concat('0', split_part({number_text(strip(c))}, '.', 1)) AS BIGINT) IS NULL))"
     )
 
 

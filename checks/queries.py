@@ -147,10 +147,8 @@ def date_parse_failures(spark, sf):
     return (
         _video(spark, sf)
         .filter(f"{is_date_token('Tanggal')} AND {parse_mixed_dates('Tanggal')} IS NULL")
-        .selectExpr(f"{strip('Tanggal')} AS cell")
-        .distinct()
-        .orderBy("cell")
-        .limit(20)
+        .groupBy(F.expr(strip("Tanggal")).alias("cell"))
+        .agg(F.count("*").alias("n_cells"))
     )
 
 

@@ -84,7 +84,8 @@ _VIDEO_EXPR = {
     "id_video": """CASE WHEN event_id % 211 = 0 THEN '' ELSE 'v' || CAST(event_id % 1500 AS STRING) END""",
     "produk": "'Produk ' || CAST(user_id % 7 AS STRING)",
     "vv": f"""CASE event_id % 50 WHEN 1 THEN '12%' WHEN 2 THEN '######' WHEN 3 THEN '-'
-    WHEN 4 THEN 'n/a' WHEN 5 THEN '1,2,3' WHEN 6 THEN '-5'
+    WHEN 4 THEN 'n/a' WHEN 5 THEN '1,2,3' WHEN 6 THEN '-5' WHEN 7 THEN '99999999999999999999'
+    WHEN 8 THEN '9999999999999999999999999999999' WHEN 9 THEN '9999999999999999999999999999999999999999'
     ELSE {_whole('(event_id + {n})')} END""",
     "likes": _whole("(event_id * 3)"),
     "komentar": "CASE WHEN user_id % 9 = 0 THEN '' ELSE CAST(event_id % 77 AS STRING) || ',5' END",
@@ -264,6 +265,8 @@ _OWN_ROOT: list[str] = []
 def scratch_root(spark: SparkSession) -> str:
     """`spark.checkpoint.dir` of the session; a folder of its own only where unset."""
     if not _OWN_ROOT and spark.conf.get("spark.checkpoint.dir", None) is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         _OWN_ROOT.append(tempfile.mkdtemp(prefix="contentlake-"))
     return scratch_dir(spark, _OWN_ROOT[0] if _OWN_ROOT else "")
 
@@ -279,10 +282,7 @@ def staged(
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _STAGED:
         path = f"{scratch_root(spark)}/{uuid.uuid4().hex}/{name}"
-        # As many files as cores: the driver tables are one file each, which would leave
-        # everything downstream in one task.
-        files = spark.sparkContext.defaultParallelism
-        build().repartition(files).write.parquet(path)
+        build().hint("rebalance").write.parquet(path)
         _STAGED[key] = path
     return spark.read.parquet(_STAGED[key])
 

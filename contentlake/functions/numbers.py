@@ -33,7 +33,10 @@ _FLOAT = rf"^[{WS_CLASS}]*[+-]?(?:{_DECIMAL}|(?i:inf|infinity|nan))[{WS_CLASS}]*
 
 
 def is_numeric_corrupt(c: str) -> str:
-    return f"coalesce(NOT {matches(c, NUMERIC_CELL)}, false)"
+    """Forbidden characters, no readable number, or one whose whole part no bigint holds."""
+    whole = f"substring_index(regexp_replace({c}, '[^0-9,]', ''), ',', 1)"
+    too_large = f"(length({whole}) > 18 AND try_cast({whole} AS bigint) IS NULL)"
+    return f"coalesce(NOT {matches(c, NUMERIC_CELL)} OR {too_large}, false)"
 
 
 def is_percent_corrupt(c: str) -> str:
@@ -81,7 +84,7 @@ def percent_to_fraction(c: str, decimal_comma: bool = False) -> str:
 
 def round_half_even(c: str) -> str:
     """Nearest whole number, ties to even, null to 0."""
-    return f"coalesce(CAST(bround({c}, 0) AS bigint), 0L)"
+    return f"coalesce(try_cast(bround({c}, 0) AS bigint), 0L)"
 
 
 def plain_number(c: str) -> str:

@@ -12,6 +12,8 @@ _SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # Decimal text, and so every row hash, differs without it: zero would read 0E-9.
+    "spark.sql.ansi.enabled": "true",
 }
 
 

@@ -151,8 +151,9 @@ def test_join_is_exact_with_hot_and_null_keys(spark):
     right = spark.range(3000).selectExpr("CAST(id AS string) AS rk", "id * 10 AS v").unionByName(
         spark.createDataFrame([("hot", -1), (None, -2)], "rk string, v bigint")
     )
-    assert bag(hot_keys(left, "k", max_hot=8, tracked=64), "_hot") == [("hot",)]
-    got = left_join_unique(left, right, "k", "rk", ["id"], fan_out=4, max_hot=8, tracked=64)
+    assert bag(hot_keys(left, "k", max_hot=8, tracked=64, min_rows=10), "_hot") == [("hot",)]
+    assert hot_keys(left, "k").isEmpty()  # too few rows to be worth a salt
+    got = left_join_unique(left, right, "k", "rk", ["id"], fan_out=4, max_hot=8, tracked=64, min_rows=10)
     want = left.join(right, left.k == right.rk, "left")
     assert bag(got, "id", "k", "rk", "v") == bag(want, "id", "k", "rk", "v")
 
