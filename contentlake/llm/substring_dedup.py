@@ -34,11 +34,12 @@ from pyspark.sql import functions as F
 from contentlake.llm.common import staged, text_bytes
 
 WINDOW = 20
-GRAM = 3
+GRAM = 2
 BUCKET_LIMIT = 200_000
-_CHUNK = 1 << 20  # words looked at together
+_CHUNK = 1 << 21  # words looked at together
 _PLACE_BITS = 24
-_PACKED = "mini long, id {id}, row long, start long, windows int, text binary"
+_COUNT_BITS = 20  # a place is a start and, in its low bits, the number of windows
+_PACKED = "mini long, id {id}, row long, place long, text binary"
 _FOUND = "id {id}, row long, start long, stop long, text binary"
 
 
@@ -67,6 +68,11 @@ def super_kmers(words: list[bytes], breaks: np.ndarray, window: int, gram: int):
     for j in range(gram):
         mixed = (mixed ^ base[j : j + len(mixed)]) * np.uint64(0x9E3779B97F4A7C15)
         mixed ^= mixed >> np.uint64(32)
+    mixed >>= np.uint64(1)
+    # A word said twice is the last choice: in runs of one word every window would have another minimiser.
+    for j in range(1, gram):
+        again = ids[j : j + len(mixed)] == ids[j - 1 : j - 1 + len(mixed)]
+        mixed |= again.astype(np.uint64) << np.uint64(63)
     place = np.arange(len(mixed), dtype=np.uint64)
     key = (mixed >> np.uint64(_PLACE_BITS) << np.uint64(_PLACE_BITS)) | place
     least = _sliding_min(key, window - gram + 1)  # one per window, leftmost among equals
@@ -132,11 +138,10 @@ def _pack(window: int, gram: int):
                         pa.array(mini),
                         ids.take(take),
                         rows.take(take),
-                        pa.array(own_start),
-                        pa.array(windows.astype(np.int32)),
+                        pa.array(own_start << _COUNT_BITS | windows),
                         pa.array(text, pa.binary()),
                     ],
-                    ["mini", "id", "row", "start", "windows", "text"],
+                    ["mini", "id", "row", "place", "text"],
                 )
 
     return run
@@ -165,7 +170,7 @@ def _combine(text: list, row_of: np.ndarray, start: np.ndarray, order: tuple[lis
 
 
 def _match(window: int, bucket_limit: int, id_type: pa.DataType):
-    """Packed strings sorted by (mini, text, id, row, start) to repeats, or to single windows."""
+    """Packed strings sorted by (mini, text, id, row, place) to repeats, or to single windows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[tuple] = []
@@ -211,7 +216,8 @@ def _match(window: int, bucket_limit: int, id_type: pa.DataType):
         for batch in batches:
             key = batch.column(0).to_numpy()
             cols = [c.to_pylist() for c in batch.columns[1:]]
-            for k, doc, row, start, n, text in zip(key.tolist(), *cols):
+            for k, doc, row, place, text in zip(key.tolist(), *cols):
+                start, n = place >> _COUNT_BITS, place & ((1 << _COUNT_BITS) - 1)
                 if text is None:  # combined before the shuffle
                     out.append((doc, row, start, start + n + window - 1, None))
                     continue
@@ -260,8 +266,8 @@ def repeated_spans(rows: DataFrame, window: int, gram: int, bucket_limit: int) -
     kind = rows.schema["id"].dataType.simpleString()
     packed = rows.mapInArrow(_pack(window, gram), _PACKED.format(id=kind))
     # Strings without text are settled; they go anywhere, not to the bucket they came from.
-    deal = F.when(F.col("text").isNull(), F.xxhash64("id", "start")).otherwise(F.col("mini"))
-    dealt = packed.repartition(deal).sortWithinPartitions("mini", "text", "id", "row", "start")
+    deal = F.when(F.col("text").isNull(), F.xxhash64("id", "place")).otherwise(F.col("mini"))
+    dealt = packed.repartition(deal).sortWithinPartitions("mini", "text", "id", "row", "place")
     arrow_id = pa.int64() if kind == "bigint" else pa.string() if kind == "string" else pa.int32()
     found = staged(dealt.mapInArrow(_match(window, bucket_limit, arrow_id), _FOUND.format(id=kind)), "repeats")
     spans = found.where("text is null").select("id", "row", "start", "stop")
