@@ -53,6 +53,7 @@ from contentlake.sources.tables import (
     read_silver,
     read_table,
     rebuild_table,
+    run_folder,
     write_run,
 )
 from contentlake.specs import PRODUCTION, VIDEO, DatasetSpec
@@ -114,7 +115,7 @@ def run_dataset(run: Run, spec: DatasetSpec, sheets: Sheets) -> DataFrame | None
 
     # Manifest: this run's entries against the open ones.
     quarantine = run.path("quarantine", name)
-    entry_path = f"{quarantine}/date={date_key}/run_key={run_key}"
+    entry_path = f"{quarantine}/{run_folder(date_key, run_key, run.run_id)}"
     entries = run.stage(
         m.manifest_entries(errors, affected.scalar(), run.now, entry_path), name, "entries"
     )
@@ -136,19 +137,19 @@ def run_dataset(run: Run, spec: DatasetSpec, sheets: Sheets) -> DataFrame | None
         _report(annotated, spec, resolved, counts, entries), name, "report"
     )
     if not entries.isEmpty():
-        write_run(errors.drop("_date_0"), quarantine, date_key, run_key)
+        write_run(errors.drop("_date_0"), quarantine, date_key, run_key, run.run_id)
         cells = [*checked_cells(annotated, spec), *date_names(annotated, spec)]
         values = m.bad_values(errors, cells, affected.scalar())
-        write_run(values, run.path("manifest_values", name), date_key, run_key)
+        write_run(values, run.path("manifest_values", name), date_key, run_key, run.run_id)
     if has_rows:
         landed = run.path("landed", name)
-        write_run(bronze_batch(bronze, marks), landed, date_key, run_key)
+        write_run(bronze_batch(bronze, marks), landed, date_key, run_key, run.run_id)
         append_run(
-            spark.read.parquet(f"{landed}/date={date_key}/run_key={run_key}"),
+            spark.read.parquet(f"{landed}/{run_folder(date_key, run_key, run.run_id)}"),
             run.path("bronze", name),
         )
     if not resolved.isEmpty():
-        write_run(sync.fixes, run.path("fixes", name), date_key, run_key)
+        write_run(sync.fixes, run.path("fixes", name), date_key, run_key, run.run_id)
 
     _commit(run, spec, state, sync, marks_state, sheets.registry, passed if has_rows else None)
     return report

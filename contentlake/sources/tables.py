@@ -7,6 +7,8 @@ with a third of all rows neither ends in one task nor in thousands of tiny files
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,11 +28,20 @@ def write_partitions(df: DataFrame, path: str, by: tuple[str, ...]) -> None:
     )
 
 
-def write_run(df: DataFrame, path: str, date: str, run_key: str) -> None:
-    """Landing and quarantine layout `date=YYYYMMDD/run_key=YYYYMMDDHH`; a second run
-    within the hour replaces the first."""
-    keyed = df.withColumns({"date": F.lit(date), "run_key": F.lit(run_key)})
-    write_partitions(keyed.hint("rebalance"), path, ("date", "run_key"))
+def run_folder(date: str, run_key: str, run_id: str) -> str:
+    """`date=YYYYMMDD/run_key=YYYYMMDDHH/run=...`: two runs within an hour keep apart."""
+    return f"date={date}/run_key={run_key}/run={_folder_name(run_id)}"
+
+
+def _folder_name(run_id: str) -> str:
+    return re.sub(r"[^A-Za-z0-9.-]", lambda m: f"_{ord(m[0]):x}_", run_id)
+
+
+def write_run(df: DataFrame, path: str, date: str, run_key: str, run_id: str) -> None:
+    """Landing and quarantine layout of `run_folder`; the same run replaces its own rows."""
+    keys = {"date": date, "run_key": run_key, "run": _folder_name(run_id)}
+    keyed = df.withColumns({k: F.lit(v) for k, v in keys.items()})
+    write_partitions(keyed.hint("rebalance"), path, tuple(keys))
 
 
 def append_run(df: DataFrame, path: str) -> None:
