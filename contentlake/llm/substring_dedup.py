@@ -36,10 +36,12 @@ from contentlake.llm.common import staged, text_bytes
 WINDOW = 20
 GRAM = 2
 BUCKET_LIMIT = 200_000
-_CHUNK = 1 << 21  # words looked at together
+_CHUNK = 1 << 20  # words looked at together
 _PLACE_BITS = 24
+_BUCKET_BITS = 32  # of a minimiser; two that share them only share a bucket
 _COUNT_BITS = 20  # a place is a start and, in its low bits, the number of windows
 _PACKED = "mini long, id {id}, row long, place long, text binary"
+_NAMES = ["mini", "id", "row", "place", "text"]
 _FOUND = "id {id}, row long, start long, stop long, text binary"
 
 
@@ -84,21 +86,30 @@ def super_kmers(words: list[bytes], breaks: np.ndarray, window: int, gram: int):
         return (np.empty(0, np.int64),) * 3
     first = np.flatnonzero(np.r_[True, (chosen[1:] != chosen[:-1]) | (starts[1:] != starts[:-1] + 1)])
     return (
-        (chosen[first] >> np.uint64(_PLACE_BITS)).astype(np.int64),
+        (chosen[first] >> np.uint64(64 - _BUCKET_BITS)).astype(np.int64),
         starts[first],
         np.diff(np.append(first, len(starts))),
     )
 
 
-def _documents(batch: pa.RecordBatch, window: int) -> Iterator[tuple[list[bytes], list[tuple[int, int, int]]]]:
+def _copies(texts: list[bytes], order: tuple[list, list]) -> list[int]:
+    """Rows of the batch whose whole text stands in an earlier row of it."""
+    first: dict[bytes, tuple] = {}
+    at = [_position(order, i, 0) for i in range(len(texts))]
+    for text, here in zip(texts, at):
+        first[text] = min(here, first.get(text, here))
+    return [i for i, text in enumerate(texts) if first[text] < at[i]]
+
+
+def _documents(texts: list[bytes], skip: set[int], window: int) -> Iterator[tuple[list[bytes], list[tuple[int, int, int]]]]:
     """Chunks of words with (row in batch, first word's place in the document, words) pieces.
 
     A document longer than a chunk comes in pieces that share window - 1 words.
     """
     words: list[bytes] = []
     parts: list[tuple[int, int, int]] = []
-    for i, data in enumerate(batch.column(2)):
-        own = data.as_py().split()
+    for i, data in enumerate(texts):
+        own = [] if i in skip else data.split()
         if len(own) < window:
             continue
         for at in range(0, len(own) - window + 1, _CHUNK):
@@ -117,7 +128,22 @@ def _pack(window: int, gram: int):
         for batch in batches:
             ids, rows = batch.column(0), batch.column(1)
             order = (ids.to_pylist(), rows.to_pylist())
-            for words, parts in _documents(batch, window):
+            texts = batch.column(2).to_pylist()
+            copies = _copies(texts, order)
+            most = (1 << _COUNT_BITS) - 1
+            whole = [
+                (i, at << _COUNT_BITS | min(most, n - at))
+                for i in copies
+                for n in [len(texts[i].split()) - window + 1]
+                for at in range(0, n, most)
+            ]
+            if whole:
+                take = pa.array([i for i, _ in whole])
+                places = pa.array([p for _, p in whole])
+                yield pa.RecordBatch.from_arrays(
+                    [places, ids.take(take), rows.take(take), places, pa.nulls(len(whole), pa.binary())], _NAMES
+                )
+            for words, parts in _documents(texts, set(copies), window):
                 of, at, size = (np.array(x, np.int64) for x in zip(*parts))
                 ends = np.cumsum(size)
                 mini, start, windows = super_kmers(words, ends, window, gram)
@@ -141,7 +167,7 @@ def _pack(window: int, gram: int):
                         pa.array(own_start << _COUNT_BITS | windows),
                         pa.array(text, pa.binary()),
                     ],
-                    ["mini", "id", "row", "place", "text"],
+                    _NAMES,
                 )
 
     return run
