@@ -5,10 +5,11 @@ the hashes of that line and the one before is divisible by `every`. Lines put in
 taken out elsewhere do not move them. Chunks of two lines or more whose hash occurs more than once
 are then grouped by their bytes, and all but the first of each group are removed.
 
-DataFrame functions only. A text is marked once and cut into chunks by its own row's
-expressions; only chunk hashes are shuffled for all documents, texts of chunks only where
-the hash is repeated. Both aggregations combine before their shuffle, so a chunk in a third of
-all documents arrives once per task.
+DataFrame functions only. A text is marked and cut into chunks by its own row's expressions.
+Texts are shuffled whole once, to meet the places of their repeated hashes and later those to
+remove; chunks are shuffled as hashes, and as texts only where the hash is repeated. The
+aggregations combine before their shuffle, so a chunk in a third of all documents arrives
+once per task.
 
 Defined cases: a null text is one empty line and stays null; empty lines are lines;
 single-line chunks are never removed; rows that share an id are told apart by their
@@ -45,25 +46,37 @@ def chunks(text: Column, every: int = EVERY) -> Column:
     return F.split(F.regexp_replace(F.array_join(marked, "\n"), r"\n\z", ""), "\n\n", -1)
 
 
-def _rows(docs: DataFrame, id_col: str, text_col: str, every: int) -> DataFrame:
+def _whole(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     text = F.coalesce(F.col(text_col), F.lit(""))
-    return docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("row"), F.posexplode_outer(chunks(text, every)).alias("place", "chunk"))
+    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.xxhash64(text).alias("row"))
 
 
-def repeated_chunks(docs: DataFrame, id_col: str, text_col: str, every: int) -> DataFrame:
-    """(id, row, place) of every multi-line chunk with an equal one before it."""
-    rows = _rows(docs, id_col, text_col, every).where(F.contains("chunk", F.lit("\n")))
-    keys = rows.select(F.xxhash64("chunk").alias("key")).groupBy("key").count().where("count > 1").select("key")
-    keys = staged(keys, "chunk_keys")
-    maybe = staged(rows.join(keys, F.xxhash64("chunk") == keys["key"], "left_semi"), "chunks")
+def _with_places(whole: DataFrame, places: DataFrame, how: str) -> DataFrame:
+    """`whole` with the array `places` of its row. Every use shares one shuffle of the texts."""
+    named = places.withColumnsRenamed({"id": "_id", "row": "_row"})
+    same = whole["id"].eqNullSafe(named["_id"]) & (whole["row"] == named["_row"])
+    return whole.join(named, same, how).drop("_id", "_row")
+
+
+def _of_row(places: DataFrame) -> DataFrame:
+    """(id, row, places), sorted: a row's places are fewer than its lines, which one row holds anyway."""
+    return places.groupBy("id", "row").agg(F.sort_array(F.collect_set("place")).alias("places"))
+
+
+def repeated_chunks(whole: DataFrame, every: int) -> DataFrame:
+    """(id, row, places) of the rows that hold a multi-line chunk with an equal one before it."""
+    cut = chunks(F.coalesce("text", F.lit("")), every)
+    rows = whole.select("id", "row", F.posexplode(cut).alias("place", "chunk")).where(F.contains("chunk", F.lit("\n")))
+    hashed = rows.select("id", "row", "place", F.xxhash64("chunk").alias("key"))
+    keys = staged(hashed.groupBy("key").count().where("count > 1").select("key"), "chunk_keys")
+    # Hashes find the places, and only the texts of those are compared.
+    maybe = _with_places(whole, _of_row(hashed.join(keys, "key", "left_semi")), "inner").select(
+        "id", "row", F.explode(F.transform("places", lambda i: F.struct(i.alias("place"), F.get(cut, i).alias("chunk")))).alias("c")
+    )
+    maybe = maybe.select("id", "row", "c.place", "c.chunk")
     place = F.struct("id", "row", "place")
     first = maybe.groupBy("chunk").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1")
-    return (
-        maybe.join(first.select("chunk", "first"), "chunk")
-        .where(~place.eqNullSafe(F.col("first")))
-        .select("id", "row", "place")
-        .distinct()
-    )
+    return _of_row(maybe.join(first.select("chunk", "first"), "chunk").where(~place.eqNullSafe(F.col("first"))))
 
 
 def _kept(parts: Column, gone: Column) -> Column:
@@ -79,15 +92,8 @@ def _kept(parts: Column, gone: Column) -> Column:
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", every: int = EVERY) -> DataFrame:
     """(`id_col`, text, n_lines, n_removed) for every row, text without the repeated chunks."""
-    gone = (
-        repeated_chunks(docs, id_col, text_col, every)
-        .groupBy(F.col("id").alias("_id"), F.col("row").alias("_row"))
-        # A document's places are fewer than its lines, which one row holds anyway.
-        .agg(F.sort_array(F.collect_list("place")).alias("gone"))
-    )
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    whole = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.xxhash64(text).alias("row"))
-    joined = whole.join(gone, whole["id"].eqNullSafe(gone["_id"]) & (whole["row"] == gone["_row"]), "left")
+    whole = _whole(docs, id_col, text_col)
+    joined = _with_places(whole, repeated_chunks(whole, every), "left").withColumnRenamed("places", "gone")
     # An array of the kept chunks' lines, each still behind its mark.
     kept = F.array_join(_kept(chunks(F.col("text"), every), F.col("gone")), "\n")
     fresh = F.substring(F.regexp_replace(kept, "\nx", "\n"), 2, 2147483647)
