@@ -18,7 +18,9 @@ PERCENT = [snake_case(c) for c in VIDEO.percent_columns]
 TAGS = "creds, sheet_name"
 BRONZE_COLS = ", ".join(c for c in v.VIDEO_CELLS if c not in VIDEO.drop_columns)
 BRONZE_COLS_P = ", ".join(c for c in v.PRODUCTION_CELLS if c not in PRODUCTION.drop_columns)
-LINEAGE = "snapshot_date, run_id, row_hash_raw"
+# Every run is at six o'clock of its day.
+SNAPSHOT_TS = "CAST(snapshot_date AS TIMESTAMP) + INTERVAL 6 HOUR AS snapshot_ts"
+LINEAGE = f"snapshot_date, {SNAPSHOT_TS}, run_id, row_hash_raw"
 
 
 def _landed() -> str:
@@ -264,8 +266,8 @@ ORACLES: dict[str, str] = {
     + "SELECT tanggal, toko, id_kreator, id_video, row_hash_clean FROM sv",
     "row_hash_clean_production": W(*o.SILVER_PRODUCTION)
     + "SELECT tanggal, akun, id_konten, row_hash_clean FROM sp",
-    "merge_video": W(*o.MERGE_VIDEO) + "SELECT * FROM mv",
-    "merge_production": W(*o.MERGE_PRODUCTION) + "SELECT * FROM mp",
+    "merge_video": W(*o.MERGE_VIDEO) + f"SELECT *, {SNAPSHOT_TS} FROM mv",
+    "merge_production": W(*o.MERGE_PRODUCTION) + f"SELECT *, {SNAPSHOT_TS} FROM mp",
     "merge_actions": W(*o.MERGE_VIDEO, *o.MERGE_PRODUCTION)
     + """SELECT action, count(*) AS n_rows, 'video' AS table_name FROM mv GROUP BY action
   UNION ALL SELECT action, count(*), 'production' FROM mp GROUP BY action""",

@@ -50,7 +50,6 @@ from contentlake.sources.landing import promote_headers
 from contentlake.specs import PRODUCTION, SILVER_PRODUCTION_KEYS, SILVER_VIDEO_KEYS, VIDEO
 
 REPORTED_AT, PATH = "2024-02-01T06:00:00", "quarantine/video"
-STAMP = ("snapshot_ts",)
 OUTCOME = f"CASE WHEN _blank THEN 'blank' WHEN {val.IS_ERROR} THEN 'error' ELSE 'valid' END AS outcome"
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -239,7 +238,10 @@ def profile_integral(spark, sf):
 def sheet_promote_header(spark, sf):
     cells = v.staged(spark, sf, "landed", lambda: v.from_sql(spark, sf, v.LANDED_SQL))
     registry = v.from_sql(spark, sf, v.SOURCES_SQL)
-    return snake_case_columns(promote_headers(cells, registry, header_row=2))
+    def stage(heads):
+        return v.staged(spark, sf, "headers", lambda: heads)
+
+    return snake_case_columns(promote_headers(cells, registry, header_row=2, stage=stage))
 
 
 @query
@@ -440,6 +442,12 @@ def watermark_max_dates(spark, sf):
     return wm.max_dates(kept, date="Tanggal")
 
 
+def _stamped(df: DataFrame) -> DataFrame:
+    """`snapshot_ts` as UTC without a zone, whatever the session's zone."""
+    zoneless = F.col("snapshot_ts").cast("timestamp_ntz")
+    return df.withColumn("snapshot_ts", F.convert_timezone(None, F.lit("UTC"), zoneless))
+
+
 # --- Bronze ----------------------------------------------------------------------------------
 
 
@@ -456,13 +464,13 @@ def row_hash_raw_production(spark, sf):
 @query
 def bronze_video(spark, sf):
     parts = [v.bronze_run(spark, sf, VIDEO, n) for n in (1, 2, 3)]
-    return union_sheets(parts).drop(*STAMP)
+    return _stamped(union_sheets(parts))
 
 
 @query
 def bronze_production(spark, sf):
     parts = [v.bronze_run(spark, sf, PRODUCTION, n) for n in (1, 2, 3)]
-    return union_sheets(parts).drop(*STAMP)
+    return _stamped(union_sheets(parts))
 
 
 @query
@@ -470,7 +478,7 @@ def bronze_batch_(spark, sf):
     exact = m.confirmed_keys(_open(spark, sf), _counts(spark, sf))
     flagged = m.flag_recovered(_valid(spark, sf), exact, "Tanggal")
     rows = build_bronze(flagged, VIDEO, v.run_ts(1), "run0")
-    return bronze_batch(rows, v.from_sql(spark, sf, v.MARKS_SQL)).drop(*STAMP)
+    return _stamped(bronze_batch(rows, v.from_sql(spark, sf, v.MARKS_SQL)))
 
 
 @query
@@ -486,22 +494,22 @@ def dedupe_row_hash(spark, sf):
 
 @query
 def latest_video_(spark, sf):
-    return latest_video(v.bronze(spark, sf, VIDEO)).drop(*STAMP)
+    return _stamped(latest_video(v.bronze(spark, sf, VIDEO)))
 
 
 @query
 def latest_production_(spark, sf):
-    return latest_production(v.bronze(spark, sf, PRODUCTION)).drop(*STAMP)
+    return _stamped(latest_production(v.bronze(spark, sf, PRODUCTION)))
 
 
 @query
 def silver_video_base_(spark, sf):
-    return silver_video_base(latest_video(v.bronze(spark, sf, VIDEO))).drop(*STAMP)
+    return _stamped(silver_video_base(latest_video(v.bronze(spark, sf, VIDEO))))
 
 
 @query
 def silver_production_base_(spark, sf):
-    return silver_production_base(latest_production(v.bronze(spark, sf, PRODUCTION))).drop(*STAMP)
+    return _stamped(silver_production_base(latest_production(v.bronze(spark, sf, PRODUCTION))))
 
 
 @query
@@ -532,12 +540,12 @@ def _merge_production(spark, sf) -> DataFrame:
 
 @query
 def merge_video(spark, sf):
-    return _merge_video(spark, sf).drop(*STAMP)
+    return _stamped(_merge_video(spark, sf))
 
 
 @query
 def merge_production(spark, sf):
-    return _merge_production(spark, sf).drop(*STAMP)
+    return _stamped(_merge_production(spark, sf))
 
 
 @query
@@ -555,7 +563,7 @@ def merge_actions_(spark, sf):
 @query
 def production_dedup_(spark, sf):
     silver = v.silver_full(spark, sf, PRODUCTION)
-    return production_dedup(silver, ("akun", "row_hash_clean")).drop(*STAMP)
+    return _stamped(production_dedup(silver, ("akun", "row_hash_clean")))
 
 
 @query

@@ -107,7 +107,12 @@ def run_dataset(run: Run, spec: DatasetSpec, sheets: Sheets) -> DataFrame | None
         return None
     date_key, run_key = date_keys(run.ts)
 
-    raw = promote_headers(sheets.cells, sheets.registry, spec.header_row)
+    raw = promote_headers(
+        sheets.cells,
+        sheets.registry,
+        spec.header_row,
+        stage=lambda heads: run.stage(heads, name, "headers"),
+    )
     annotated = run.stage(annotate(rows_with_id(raw, spec), spec), name, "annotated")
     valid, errors = valid_rows(annotated, spec), error_rows(annotated, spec, keep_date=True)
     primary = date_names(annotated, spec)[0]

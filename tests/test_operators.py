@@ -179,6 +179,44 @@ def test_promote_headers(spark):
     ]
 
 
+def test_promote_headers_spellings(spark):
+    """Names equal once normalised are one column; in a sheet the first of them counts."""
+    cells = spark.createDataFrame(
+        [
+            ("one", 0, ["Kode", "KODE", None]),
+            ("one", 1, ["1", "2", "3"]),
+            ("two", 0, ["x", "kode "]),
+            ("two", 1, ["4", "5"]),
+        ],
+        LANDING_SCHEMA,
+    )
+    registry = spark.createDataFrame([("one", "c1", 0), ("two", "c2", 1)], wm.REGISTRY_SCHEMA)
+    df = promote_headers(cells, registry, header_row=0)
+    assert df.columns[:3] == ["Kode", "unnamed", "x"]
+    assert bag(df, "Kode", "unnamed", "x") == [("1", "3", None), ("5", None, "4")]
+
+
+def test_promote_headers_moves_no_cell(spark, tmp_path):
+    """With the headers staged, cells beyond the broadcast threshold stay where they are."""
+    rows = "SELECT 'one' AS sheet_name, id AS row_idx, array(uuid(), uuid()) AS cells FROM range(20000)"
+    spark.sql(rows).write.parquet(str(tmp_path / "cells"))
+    cells = spark.read.schema(LANDING_SCHEMA).parquet(str(tmp_path / "cells"))
+    registry = spark.createDataFrame([("one", "c1", 0)], wm.REGISTRY_SCHEMA)
+
+    def stage(heads):
+        heads.write.parquet(str(tmp_path / "heads"))
+        return spark.read.schema(heads.schema).parquet(str(tmp_path / "heads"))
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100k")
+    try:
+        plan = plan_of(promote_headers(cells, registry, 0, stage=stage))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+    assert plan.count("Scan parquet") == 2  # cells and staged headers
+
+
 def test_state_versions(spark, tmp_path):
     path = str(tmp_path / "state")
     assert read_state(spark, path, "t", "x int").count() == 0
