@@ -30,6 +30,7 @@ SYMBOLS = b"#*$%&|<>"
 BLOCK = 128  # tokens that an entropy is taken over
 SPREAD = 10.0
 MIN_DOCS = 50
+DECIMALS = 3  # of the values that quartiles are taken over
 MAX_BROADCAST = 10_000  # bands, about 100 bytes each
 #: Least distance of a band's ends from the median.
 MARGIN = {"chars_per_token": 0.25, "byte_share": 0.1, "entropy": 0.05}
@@ -165,7 +166,9 @@ def measured(docs: DataFrame, vocabulary: str, id_col: str, text_col: str, lang_
 
 
 def _band(name: str, spread: float):
-    p = F.percentile_approx(name, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), F.lit(1000))
+    # Exact counts of rounded values: the state is bounded (a piece has a bounded length, the other
+    # measures end at 1) and the quartiles don't depend on how the rows lie in partitions.
+    p = F.percentile(F.round(name, DECIMALS), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
     low = p[1] - F.greatest(F.lit(spread) * (p[1] - p[0]), F.lit(MARGIN[name]))
     high = p[1] + F.greatest(F.lit(spread) * (p[2] - p[1]), F.lit(MARGIN[name]))
     return F.struct(low.alias("low"), high.alias("high")).alias(f"{name}_band")

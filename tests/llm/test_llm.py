@@ -271,3 +271,14 @@ def test_empty_tables(empty):
         token_output.corpus_tokens(empty, ids), secret_scan.scan(empty), line_dedup.dedup_lines(empty),
     ):
         assert df.count() == 0
+
+
+def test_bands_do_not_depend_on_partitions(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, "en", float(a), float(b), float(c)) for i, (a, b, c) in enumerate(rng.random((3000, 3)))]
+    passed = spark.createDataFrame(rows, "id long, group string, chars_per_token double, byte_share double, entropy double")
+    seen = [quality_rules.bands(passed.repartition(n, "id"))[1].first() for n in (1, 3, 29)]
+    assert seen[0] == seen[1] == seen[2]
+    low, mid, _ = np.percentile(np.round([r[2] for r in rows], 3), (25, 50, 75))
+    want = mid - max(quality_rules.SPREAD * (mid - low), quality_rules.MARGIN["chars_per_token"])
+    assert seen[0]["chars_per_token_band"]["low"] == pytest.approx(want)
