@@ -40,11 +40,12 @@ def _flagged(columns: dict[str, str], test) -> str:
 _OUTCOME = "CASE WHEN is_blank THEN 'blank' WHEN is_error THEN 'error' ELSE 'valid' END AS outcome"
 
 # Columns with a flagged cell, in the order numeric, percent, dates.
-_AFFECTED = "affected AS (SELECT concat_ws('|', " + ", ".join(
+_AFFECTED_NAMES = "concat_ws('|', " + ", ".join(
     [f"CASE WHEN bool_or({o.numeric_corrupt(c)}) THEN '{r}' END" for c, r in o.NUMERIC.items()]
     + [f"CASE WHEN bool_or({o.percent_corrupt(c)}) THEN '{r}' END" for c, r in o.PERCENT.items()]
     + ["CASE WHEN bool_or(bad0) THEN 'Tanggal' END", "CASE WHEN bool_or(bad1) THEN 'Waktu' END"]
-) + ") AS names FROM av)"
+) + ") AS names"
+_AFFECTED = f"affected AS (SELECT {_AFFECTED_NAMES} FROM av)"
 _AFFECTED_SQL = (*ANN, _AFFECTED)
 
 _ERR_DATE = "coalesce(strftime(d0, '%Y-%m-%d'), 'INVALID_DATE')"
@@ -126,6 +127,17 @@ _BATCH = (
 _SILVER_V = ", ".join((*o.SILVER_VIDEO_COLUMNS, *LINEAGE.split(", ")))
 _SILVER_P = ", ".join((*o.SILVER_PRODUCTION_COLUMNS, *LINEAGE.split(", ")))
 
+# Open entries after the last run: of a key the newest, unless a later run had as many valid rows.
+_JOB_MANIFEST = (
+    *o.JOB_ANN_VIDEO,
+    f"affected AS (SELECT run_no, {_AFFECTED_NAMES} FROM av GROUP BY run_no)",
+    f"""counts AS (SELECT run_no, sheet_name, creds, strftime(d0, '%Y-%m-%d') AS error_date, count(*) AS n_valid
+  FROM av WHERE NOT is_error AND NOT is_blank GROUP BY ALL)""",
+    f"""newest AS (SELECT * FROM (SELECT run_no, sheet_name, creds, {_ERR_DATE} AS error_date, count(*) AS n_rows
+  FROM av WHERE is_error GROUP BY ALL) e
+  QUALIFY row_number() OVER (PARTITION BY sheet_name, creds, error_date ORDER BY run_no DESC) = 1)""",
+)
+
 ORACLES: dict[str, str] = {
     "parse_mixed_dates": RAW
     + f"SELECT row_idx, {o.date('tanggal')} AS tanggal, {o.date('waktu')} AS waktu FROM rv",
@@ -275,4 +287,22 @@ ORACLES: dict[str, str] = {
     + f"SELECT {_SILVER_P}, row_hash_clean FROM dim",
     "gold_fact": W(*o.SILVER_VIDEO, *o.SILVER_PRODUCTION, o.DEDUP)
     + f"SELECT {o.GOLD_SELECT} FROM sv a LEFT JOIN dim b ON a.id_video = b.id_konten",
+    "daily_job_bronze": W(*o.JOB_BRONZE_VIDEO, *o.JOB_BRONZE_PRODUCTION)
+    + f"""SELECT 'video' AS dataset, tanggal, {TAGS}, {LINEAGE} FROM bv
+  UNION ALL SELECT 'produksi', tanggal, {TAGS}, {LINEAGE} FROM bp""",
+    "daily_job_silver_video": W(*o.JOB_SILVER_VIDEO) + f"SELECT {_SILVER_V}, row_hash_clean FROM vm3",
+    "daily_job_silver_production": W(*o.JOB_SILVER_PRODUCTION)
+    + f"SELECT {_SILVER_P}, row_hash_clean FROM pm3",
+    "daily_job_gold": W(
+        *o.JOB_SILVER_VIDEO, *o.JOB_SILVER_PRODUCTION, "sp AS (SELECT * FROM pm3)", o.DEDUP
+    )
+    + f"SELECT {o.GOLD_SELECT} FROM vm3 a LEFT JOIN dim b ON a.id_video = b.id_konten",
+    "daily_job_manifest": W(*_JOB_MANIFEST)
+    + """SELECT e.sheet_name, e.creds, e.error_date, a.names AS affected_columns, e.n_rows,
+  '2024-02-0' || e.run_no || 'T06:00:00' AS reported_at,
+  'video/date=2024020' || e.run_no || '/run_key=2024020' || e.run_no || '06/run=run' || e.run_no AS path,
+  'open' AS status
+  FROM newest e JOIN affected a ON a.run_no = e.run_no
+  WHERE NOT EXISTS (SELECT 1 FROM counts c WHERE c.run_no > e.run_no AND c.sheet_name = e.sheet_name
+    AND c.creds = e.creds AND c.error_date = e.error_date AND c.n_valid = e.n_rows)""",
 }

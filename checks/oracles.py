@@ -351,32 +351,20 @@ def merge(name: str, target: str, source: str, on: str, keys: tuple, columns: tu
   FROM (SELECT *, 1 AS in_t FROM {target}) t FULL OUTER JOIN (SELECT *, 1 AS in_s FROM {source}) s ON {on})"""
 
 
-MERGE_VIDEO = (
-    *SILVER_VIDEO,
-    *TARGET_VIDEO,
-    merge(
-        "mv",
-        "tv",
-        "sv",
-        "t.tanggal = s.tanggal AND t.toko = s.toko AND coalesce(t.id_kreator, '') = coalesce(s.id_kreator, '') "
-        "AND coalesce(t.id_video, '') = coalesce(s.id_video, '')",
-        ("tanggal", "toko", "id_kreator", "id_video"),
-        (*SILVER_VIDEO_COLUMNS, *LINEAGE),
-    ),
+VIDEO_ON = (
+    "t.tanggal = s.tanggal AND t.toko = s.toko AND coalesce(t.id_kreator, '') = coalesce(s.id_kreator, '') "
+    "AND coalesce(t.id_video, '') = coalesce(s.id_video, '')",
+    ("tanggal", "toko", "id_kreator", "id_video"),
+    (*SILVER_VIDEO_COLUMNS, *LINEAGE),
 )
-MERGE_PRODUCTION = (
-    *SILVER_PRODUCTION,
-    *TARGET_PRODUCTION,
-    merge(
-        "mp",
-        "tp",
-        "sp",
-        f"t.tanggal = s.tanggal AND {upper_trim('t.akun')} = s.akun "
-        f"AND coalesce({upper_trim('t.id_konten')}, '') = coalesce(s.id_konten, '')",
-        ("tanggal", "akun", "id_konten"),
-        (*SILVER_PRODUCTION_COLUMNS, *LINEAGE),
-    ),
+PRODUCTION_ON = (
+    f"t.tanggal = s.tanggal AND {upper_trim('t.akun')} = s.akun "
+    f"AND coalesce({upper_trim('t.id_konten')}, '') = coalesce(s.id_konten, '')",
+    ("tanggal", "akun", "id_konten"),
+    (*SILVER_PRODUCTION_COLUMNS, *LINEAGE),
 )
+MERGE_VIDEO = (*SILVER_VIDEO, *TARGET_VIDEO, merge("mv", "tv", "sv", *VIDEO_ON))
+MERGE_PRODUCTION = (*SILVER_PRODUCTION, *TARGET_PRODUCTION, merge("mp", "tp", "sp", *PRODUCTION_ON))
 
 DEDUP = """dim AS (SELECT * FROM sp
   QUALIFY row_number() OVER (PARTITION BY id_konten ORDER BY tanggal DESC, akun DESC NULLS LAST, row_hash_clean DESC) = 1)"""
@@ -384,3 +372,50 @@ GOLD_SELECT = ", ".join(
     [f"a.{src} AS {out}" for out, src in GOLD_FACT]
     + [f"b.{src} AS {out}" for out, src in GOLD_DIMENSION]
 )
+
+
+# --- The daily job: three runs, each past the marks the runs before it left ------------------
+
+
+def _past_marks(bronze: str, out: str) -> tuple[str, ...]:
+    """Rows each run loads. A mark is the newest day a source has loaded so far."""
+    parts = [f"{out}1 AS (SELECT * FROM {bronze} WHERE run_no = 1)"]
+    for n in (2, 3):
+        loaded = " UNION ALL ".join(f"SELECT creds, tanggal FROM {out}{i}" for i in range(1, n))
+        parts.append(f"""{out}{n} AS (SELECT b.* FROM {bronze} b LEFT JOIN
+  (SELECT creds, date_trunc('day', max(tanggal)) AS mark FROM ({loaded}) u GROUP BY creds) k ON k.creds = b.creds
+  WHERE b.run_no = {n} AND (k.mark IS NULL OR b.tanggal > k.mark))""")
+    rows = " UNION ALL ".join(f"SELECT * FROM {out}{n}" for n in (1, 2, 3))
+    parts.append(f"""{out} AS (SELECT * FROM ({rows}) u
+  QUALIFY row_number() OVER (PARTITION BY run_no, row_hash_raw ORDER BY sheet_name, row_idx) = 1)""")
+    return tuple(parts)
+
+
+def _merged_thrice(name: str, bronze: str, key: str, silver, on: tuple) -> tuple[str, ...]:
+    """Silver after three merges; the source of each is the latest row of all runs so far."""
+    parts: list[str] = []
+    for n, runs in ((1, "1"), (2, "1, 2"), (3, "1, 2, 3")):
+        parts += [latest(f"{name}l{n}", bronze, key, runs), silver(f"{name}s{n}", f"{name}l{n}")]
+    parts += [merge(f"{name}m2", f"{name}s1", f"{name}s2", *on), merge(f"{name}m3", f"{name}m2", f"{name}s3", *on)]
+    return tuple(parts)
+
+
+# A source is named by the registry of its sheet.
+JOB_RUNS_VIDEO = (
+    "rv AS (SELECT * REPLACE ('cred' || least(CAST(substr(sheet_name, 6) AS INTEGER), 3) AS creds) FROM ("
+    + " UNION ALL ".join(video_sql(n, w) for n, w in VIDEO_RUNS.items())
+    + ") u)"
+)
+JOB_ANN_VIDEO = (JOB_RUNS_VIDEO, ANN_VIDEO)
+JOB_BRONZE_VIDEO = (*JOB_ANN_VIDEO, _valid_video(), _bronze_video("bv0"), *_past_marks("bv0", "bv"))
+JOB_BRONZE_PRODUCTION = (
+    RUNS_PRODUCTION,
+    ANN_PRODUCTION,
+    _bronze_production("bp0"),
+    *_past_marks("bp0", "bp"),
+)
+JOB_SILVER_VIDEO = (*JOB_BRONZE_VIDEO, *_merged_thrice("v", "bv", VIDEO_KEY, silver_video, VIDEO_ON))
+JOB_SILVER_PRODUCTION = (
+    *JOB_BRONZE_PRODUCTION,
+    *_merged_thrice("p", "bp", PRODUCTION_KEY, silver_production, PRODUCTION_ON),
+)

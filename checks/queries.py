@@ -39,14 +39,19 @@ from contentlake.operators.naming import (
     tag_sources,
     union_sheets,
 )
-from contentlake.plans.bronze import bronze_batch, build_bronze
+from contentlake.plans.bronze import bronze_batch, bronze_schema, build_bronze
+from contentlake.plans.daily import MANIFEST
 from contentlake.plans.gold import gold_fact
 from contentlake.plans.silver import (
+    SILVER_PRODUCTION_SCHEMA,
+    SILVER_VIDEO_SCHEMA,
     silver_production_base,
     silver_video_base,
 )
 from contentlake.session import tune
 from contentlake.sources.landing import promote_headers
+from contentlake.sources.state import read_state
+from contentlake.sources.tables import read_silver, read_table
 from contentlake.specs import PRODUCTION, SILVER_PRODUCTION_KEYS, SILVER_VIDEO_KEYS, VIDEO
 
 REPORTED_AT, PATH = "2024-02-01T06:00:00", "quarantine/video"
@@ -571,5 +576,45 @@ def gold_fact_(spark, sf):
     return gold_fact(v.silver_full(spark, sf, VIDEO), v.silver_full(spark, sf, PRODUCTION))
 
 
+# --- The daily job: three runs from landed cells to gold -----------------------------------------
+
+
+@query
+def daily_job_bronze(spark, sf):
+    root = v.job_lake(spark, sf)
+    parts = [
+        read_table(spark, f"{root}/bronze/{spec.name}", bronze_schema(spec)).select(
+            F.lit(spec.name).alias("dataset"), "tanggal", "creds", "sheet_name", "snapshot_ts",
+            "snapshot_date", "run_id", "row_hash_raw",
+        )
+        for spec in (VIDEO, PRODUCTION)
+    ]
+    return _stamped(union_sheets(parts))
+
+
+@query
+def daily_job_silver_video(spark, sf):
+    return _stamped(read_silver(spark, f"{v.job_lake(spark, sf)}/silver/video", SILVER_VIDEO_SCHEMA))
+
+
+@query
+def daily_job_silver_production(spark, sf):
+    path = f"{v.job_lake(spark, sf)}/silver/{PRODUCTION.name}"
+    return _stamped(read_silver(spark, path, SILVER_PRODUCTION_SCHEMA))
+
+
+@query
+def daily_job_gold(spark, sf):
+    return spark.read.parquet(f"{v.job_lake(spark, sf)}/gold/fact_daily")
+
+
+@query
+def daily_job_manifest(spark, sf):
+    """Open entries after the last run; of a quarantine path the part below the lake."""
+    state = f"{v.job_lake(spark, sf)}/state/video"
+    entries = read_state(spark, state, MANIFEST, m.ENTRY_SCHEMA)
+    return _flat(entries).withColumn("path", F.substring_index("path", "/quarantine/", -1))
+
+
 # Functions whose name is also the operator's carry a trailing underscore here only.
 QUERIES = {name.rstrip("_"): fn for name, fn in QUERIES.items()}

@@ -20,6 +20,7 @@ from contentlake.functions.text import q, snake_case
 from contentlake.operators.latest import first_by_hash
 from contentlake.operators.validate import annotate, rows_with_id, valid_rows
 from contentlake.plans.bronze import build_bronze
+from contentlake.plans.daily import Sheets, run_daily
 from contentlake.plans.silver import silver_production, silver_video
 from contentlake.sources.files import scratch_dir
 from contentlake.specs import PRODUCTION, VIDEO, DatasetSpec
@@ -356,3 +357,49 @@ def silver_full(spark: SparkSession, sf_dir: str, spec: DatasetSpec) -> DataFram
     return staged(
         spark, sf_dir, f"silver_{spec.name}", lambda: silver_source(spark, sf_dir, spec)
     )
+
+
+# --- The daily job over the three runs --------------------------------------------------
+
+_LAKES: dict[tuple[str, str], str] = {}
+
+JOB_REGISTRY_SQL = f"""{SOURCES_SQL}
+UNION ALL SELECT 'produksi', 'cred_p', CAST(5 AS INT)"""
+
+
+def landed_run(spark: SparkSession, sf_dir: str, spec: DatasetSpec, run: int) -> DataFrame:
+    """The sheets of one run as they land: a header row, then cells by position."""
+    raw = sheet_rows(spark, sf_dir, spec, run)
+    names = [c for c in raw.columns if c not in ("row_idx", "creds", "sheet_name")]
+    head = F.lit(spec.header_row)
+
+    def build() -> DataFrame:
+        data = raw.select(
+            "sheet_name",
+            (F.col("row_idx") + head + 1).alias("row_idx"),
+            F.array(*[F.col(q(c)) for c in names]).alias("cells"),
+        )
+        heads = raw.select("sheet_name").distinct().select(
+            "sheet_name",
+            head.cast("bigint").alias("row_idx"),
+            F.array(*[F.lit(c) for c in names]).alias("cells"),
+        )
+        return data.unionByName(heads)
+
+    return staged(spark, sf_dir, f"landed_{spec.name}_{run}", build)
+
+
+def job_lake(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of a lake the daily job has filled in three runs."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _LAKES:
+        root = f"{scratch_root(spark)}/{uuid.uuid4().hex}/lake"
+        registry = from_sql(spark, sf_dir, JOB_REGISTRY_SQL)
+        for n in (1, 2, 3):
+            sheets = {
+                spec.name: Sheets(landed_run(spark, sf_dir, spec, n), registry)
+                for spec in (VIDEO, PRODUCTION)
+            }
+            run_daily(spark, root, sheets, run_ts(n), f"run{n}")
+        _LAKES[key] = root
+    return _LAKES[key]

@@ -8,6 +8,7 @@ a failed run is repeated with the same `run_id` and gives the same tables.
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
 from datetime import date, datetime
 
@@ -90,7 +91,8 @@ class Run:
 
     def scratch(self, *parts: str) -> str:
         base = scratch_dir(self.spark, self.path("_scratch"))
-        return "/".join((base, self.run_id, *parts))
+        lake = hashlib.sha256(self.root.encode()).hexdigest()[:16]  # lakes may share the folder
+        return "/".join((base, f"lake-{lake}", self.run_id, *parts))
 
     def stage(self, df: DataFrame, *parts: str) -> DataFrame:
         """Write once, read back by all later steps."""
