@@ -85,13 +85,15 @@ def repeated_words(ids: np.ndarray, window: int = WINDOW) -> int:
 
 
 def token_entropy(tokens: np.ndarray, block: int = BLOCK) -> float:
-    """Mean entropy of the text's whole blocks (the text itself if shorter), as a share of the
-    most it could be. Blocks make texts of any length comparable."""
+    """Mean entropy of the text's blocks (the text itself if shorter), as a share of the most it
+    could be. Blocks of one length make texts comparable; the last one ends at the text's end and
+    overlaps the one before it, so that every token is in a block."""
     n = len(tokens)
     if n < 2:
         return 0.0
     size = min(n, block)
-    used = tokens[: n // size * size].astype(np.int64)
+    rest = tokens[n - size :] if n % size else tokens[:0]
+    used = np.concatenate([tokens[: n // size * size], rest]).astype(np.int64)
     key = np.arange(len(used)) // size * (1 << 32) + used
     _, counts = np.unique(key, return_counts=True)
     return 1.0 - float((counts * np.log2(counts)).sum()) / len(used) / math.log2(size)

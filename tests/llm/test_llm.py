@@ -282,3 +282,15 @@ def test_bands_do_not_depend_on_partitions(spark):
     low, mid, _ = np.percentile(np.round([r[2] for r in rows], 3), (25, 50, 75))
     want = mid - max(quality_rules.SPREAD * (mid - low), quality_rules.MARGIN["chars_per_token"])
     assert seen[0]["chars_per_token_band"]["low"] == pytest.approx(want)
+
+
+def test_entropy_looks_at_every_token():
+    varied = np.arange(128)
+    for tail in (1, 20, 127):
+        text = np.r_[varied, np.full(tail, 7)]
+        blocks = [text[:128], text[-128:]]
+        shares = [np.unique(b, return_counts=True)[1] / 128 for b in blocks]
+        want = np.mean([-(x * np.log2(x)).sum() / 7 for x in shares])
+        assert quality_rules.token_entropy(text) == pytest.approx(want)
+    assert quality_rules.token_entropy(np.r_[varied, np.full(127, 7)]) < 0.6
+    assert quality_rules.token_entropy(np.r_[varied, varied]) == pytest.approx(1.0)
