@@ -4,8 +4,11 @@ Base rules: too few words, or too many words in repeated 8-word windows. The met
 characters per token (fertility), share of byte-fallback tokens and token entropy, each held
 against a band of the text's language (its script where no language is given). Bands come
 from the whole corpus: the distances of the quartiles from the median over all documents
-that pass the base rules, taken `spread` times and never narrower than `MARGIN`. Groups of
-fewer than `min_docs` documents are judged by the band of all documents.
+that pass the base rules, taken `spread` times and never narrower than `MARGIN`. The ends of a
+group's band are drawn towards those of the document's script as if `prior_docs` documents of
+that script were in the group, so a small group leans on its script, a large one on itself, and
+no number of documents switches the rule. A script has a band however few its documents are;
+only texts without letters, or of a script not listed here, lean on the band of all documents.
 
 Defined cases: a null, empty or wordless text has zeros, fails the base and is not kept;
 rows with equal ids are judged each; an empty table gives an empty result. A text is held
@@ -29,7 +32,7 @@ REPEAT_PERCENT = 30
 SYMBOLS = b"#*$%&|<>"
 BLOCK = 128  # tokens that an entropy is taken over
 SPREAD = 10.0
-MIN_DOCS = 50
+PRIOR_DOCS = 50  # weight of a script's band in the band of a group, in documents
 DECIMALS = 3  # of the values that quartiles are taken over
 MAX_BROADCAST = 10_000  # bands, about 100 bytes each
 #: Least distance of a band's ends from the median.
@@ -41,8 +44,10 @@ _CACHED_BYTES = 64
 #: First code points of the blocks told apart here, and their scripts.
 _BLOCKS = (
     (0x0000, "other"), (0x0041, "latin"), (0x005B, "other"), (0x0061, "latin"), (0x007B, "other"), (0x00C0, "latin"),
-    (0x0250, "other"), (0x0370, "greek"), (0x0400, "cyrillic"), (0x0530, "other"), (0x0590, "hebrew"),
-    (0x0600, "arabic"), (0x0700, "other"), (0x0900, "indic"), (0x0E00, "thai"), (0x0E80, "other"),
+    (0x0250, "other"), (0x0370, "greek"), (0x0400, "cyrillic"), (0x0530, "armenian"), (0x0590, "hebrew"),
+    (0x0600, "arabic"), (0x0700, "other"), (0x0900, "indic"), (0x0E00, "thai"), (0x0E80, "lao"), (0x0F00, "tibetan"),
+    (0x1000, "myanmar"), (0x10A0, "georgian"), (0x1100, "hangul"), (0x1200, "ethiopic"), (0x13A0, "other"),
+    (0x1780, "khmer"), (0x1800, "mongolian"), (0x18B0, "other"),
     (0x3040, "kana"), (0x3100, "other"), (0x3400, "han"), (0xA000, "other"), (0xAC00, "hangul"), (0xD7B0, "other"),
 )
 _STARTS = np.array([b for b, _ in _BLOCKS])
@@ -176,11 +181,10 @@ def _band(name: str, spread: float):
     return F.struct(low.alias("low"), high.alias("high")).alias(f"{name}_band")
 
 
-def bands(passed: DataFrame, spread: float = SPREAD, min_docs: int = MIN_DOCS) -> tuple[DataFrame, DataFrame]:
-    """Bands per group of at least `min_docs` documents, and the one band of all."""
+def bands(passed: DataFrame, spread: float = SPREAD, key: str = "group") -> tuple[DataFrame, DataFrame]:
+    """Bands and number of documents per `key`, and the one band of all."""
     each = [_band(name, spread) for name in MARGIN]
-    of_group = passed.groupBy("group").agg(F.count("*").alias("docs"), *each).where(F.col("docs") >= min_docs)
-    return of_group.drop("docs"), passed.agg(*each)
+    return passed.groupBy(key).agg(F.count("*").alias("docs"), *each), passed.agg(*each)
 
 
 def judge(
@@ -190,27 +194,32 @@ def judge(
     text_col: str = "text",
     lang_col: str | None = "lang",
     spread: float = SPREAD,
-    min_docs: int = MIN_DOCS,
+    prior_docs: int = PRIOR_DOCS,
 ) -> DataFrame:
     """(`id_col`, group, measures, base_failed, kept) for every row of `docs`."""
     failed = (F.col("n_words") < MIN_WORDS) | (
         100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words")
     )
     rows = staged(measured(docs, vocabulary, id_col, text_col, lang_col).withColumn("base_failed", failed), "measured")
-    of_group, of_all = bands(rows.where("not base_failed"), spread, min_docs)
+    passed = rows.where("not base_failed")
+    of_group, of_all = bands(passed, spread)
     whole = of_all.first()  # one row
-    of_group = staged(of_group, "bands")
+    of_script = bands(passed.where(F.col("script") != "other"), spread, "script")[0].drop("docs")
+    of_group, of_script = staged(of_group, "bands"), staged(of_script, "script_bands")
+    of_script = of_script.withColumnsRenamed({f"{name}_band": f"{name}_script" for name in MARGIN})
     # A row per language or script; should a column hold more kinds than that, Spark joins it as it sees fit.
     if of_group.count() <= MAX_BROADCAST:
         of_group = F.broadcast(of_group)
-    judged = rows.join(of_group, "group", "left")
+    judged = rows.join(of_group, "group", "left").join(F.broadcast(of_script), "script", "left")
     inside = F.lit(True)
+    own = F.col("docs") / (F.col("docs") + F.lit(prior_docs))
     for name in MARGIN:
         low, high = (whole[f"{name}_band"] or (None, None)) if whole else (None, None)
-        inside &= F.col(name).between(
-            F.coalesce(f"{name}_band.low", F.lit(low).cast("double")),
-            F.coalesce(f"{name}_band.high", F.lit(high).cast("double")),
-        )
+        ends = [
+            own * F.col(f"{name}_band.{end}") + (1 - own) * F.coalesce(f"{name}_script.{end}", F.lit(of).cast("double"))
+            for end, of in (("low", low), ("high", high))
+        ]
+        inside &= F.col(name).between(*ends)
     kept = F.when(F.col("base_failed"), F.lit(False)).otherwise(F.coalesce(inside, F.lit(True)))
     return judged.select(F.col("id").alias(id_col), *[c for c in rows.columns if c != "id"], kept.alias("kept"))
 

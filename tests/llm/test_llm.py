@@ -294,3 +294,23 @@ def test_entropy_looks_at_every_token():
         assert quality_rules.token_entropy(text) == pytest.approx(want)
     assert quality_rules.token_entropy(np.r_[varied, np.full(127, 7)]) < 0.6
     assert quality_rules.token_entropy(np.r_[varied, varied]) == pytest.approx(1.0)
+
+
+def test_rare_scripts_and_group_size(spark):
+    piece = public_tokenizers.path("piece_bpe_32k.model")
+    rng = np.random.default_rng(8)
+    plain = "time year people way day man thing woman life child world school state family student group country problem".split()
+    english = [(i, " ".join(rng.choice(plain, 60)), "en") for i in range(80)]
+    letters = [chr(x) for x in range(0x1200, 0x1240)]
+    made = ["".join(rng.choice(letters, 4)) for _ in range(60)]
+    amharic = [(1000 + i, " ".join(rng.choice(made, 60)), "am") for i in range(51)]
+    noise = (2000, " ".join(rng.bytes(40).hex() for _ in range(40)), "xx")
+
+    def kept(rows):
+        return {r["doc_id"]: r["kept"] for r in quality_rules.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string"), piece).collect()}
+
+    for n in (1, 49, 50, 51):
+        got = kept(english + amharic[:n] + [noise])
+        assert all(got[1000 + i] for i in range(n)), n
+        assert all(got[i] for i in range(80)) and not got[2000]
+    assert quality_rules.script_of("ሰላም ለዓለም".encode()) == "ethiopic" and quality_rules.script_of("გამარჯობა".encode()) == "georgian"
