@@ -4,7 +4,8 @@ Documents are counted by the set of sources they belong to. Each source sends it
 words to patterns that hold it; the first use of a pattern's words is free, each further
 use costs more, so the flow repeats as little as the quotas allow. What a pattern receives
 is then taken from its documents in seeded order: whole rounds for all, and the rest of it
-from the documents first in order, with the last few chosen by size so that the sum fits.
+from each document in turn that still fits. What stays open of a pattern's rest is smaller
+than every document of it that was not taken.
 
 Only counts travel to the driver: a row per source and per pattern. Patterns are as many
 as distinct source sets, bounded by `max_patterns` (more raise an error, none are cut).
@@ -102,52 +103,48 @@ def _order(seed: int) -> Column:
     return F.xxhash64(F.lit(seed), F.col("id"), F.col("size"))
 
 
-def _seeded(members: DataFrame, rest: DataFrame, seed: int, fills: int) -> DataFrame:
-    """(id, copy_no) rows whose sizes sum to about `rest` (pattern, rest) per pattern.
+def _seeded(members: DataFrame, rest: DataFrame, seed: int) -> DataFrame:
+    """(row) of the documents taken for `rest` (pattern, rest): in seeded order, each that still fits.
 
-    Documents stand in seeded order, cut into hash ranges that are counted first; only the
-    range in which the sum is reached is ordered row by row.
+    Documents are cut into hash ranges that are counted first; only the range in which the
+    sum is reached is ordered row by row. Those larger than the gap that is left are set aside,
+    and the others are counted anew, until none fits. A round ends at a document that fits
+    alone but not behind the others, so the gap falls below its size.
     """
     ranged = staged(
         members.join(rest, "pattern")
-        .where("size > 0 and rest > 0")
-        .select("id", "row", "size", "pattern", "rest", _order(seed).alias("o"))
+        .where("size > 0 and size <= rest")
+        .select("id", "row", "size", "pattern", _order(seed).alias("o"))
         .withColumn("range", F.pmod(F.shiftrightunsigned("o", 40), F.lit(_BUCKETS)).cast("int")),
         "ranged",
     )
-    counted = ranged.groupBy("pattern", "range").agg(F.sum("size").alias("words"))
+    chosen = ranged.select("row", "size", "pattern").limit(0)
     before = Window.partitionBy("pattern").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    ranges = counted.select(
-        "pattern", "range", "words", F.coalesce(F.sum("words").over(before), F.lit(0)).alias("below")
-    )
-    placed = ranged.join(ranges, ["pattern", "range"])
-    whole = placed.where("below + words <= rest").select("row", "size", "pattern")
     inside = Window.partitionBy("pattern", "range").orderBy("o", "id", "row").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    cut = (
-        placed.where("below < rest and below + words > rest")
-        .withColumn("sum", F.col("below") + F.sum("size").over(inside))
-        .where("sum <= rest")
-        .select("row", "size", "pattern")
-    )
-    chosen = staged(whole.union(cut), "chosen")
-    # The gap left is below one document: fill it with the largest one that fits, again and again.
-    for _ in range(fills):
+    while True:
         taken = chosen.groupBy("pattern").agg(F.sum("size").alias("sum"))
         gap = rest.join(taken, "pattern", "left").select(
             "pattern", (F.col("rest") - F.coalesce("sum", F.lit(0))).alias("gap")
         )
-        best = (
-            ranged.join(gap, "pattern")
-            .where("size <= gap")
-            .join(chosen.select("row"), "row", "left_anti")
-            .groupBy("pattern")
-            .agg(F.max(F.struct("size", "o", "id", "row")).alias("best"))
-            .select("best.row", "best.size", "pattern")
+        fitting = ranged.join(gap, "pattern").where("size <= gap").join(chosen.select("row"), "row", "left_anti")
+        counted = fitting.groupBy("pattern", "range").agg(F.sum("size").alias("words"))
+        ranges = counted.select(
+            "pattern", "range", "words", F.coalesce(F.sum("words").over(before), F.lit(0)).alias("below")
+        )
+        placed = fitting.join(ranges, ["pattern", "range"])
+        whole = placed.where("below + words <= gap").select("row", "size", "pattern")
+        cut = (
+            placed.where("below < gap and below + words > gap")
+            .withColumn("sum", F.col("below") + F.sum("size").over(inside))
+            .where("sum <= gap")
+            .select("row", "size", "pattern")
         )
-        chosen = staged(chosen.union(best), "filled")
-    return chosen.select("row")
+        more = staged(whole.union(cut), "chosen")
+        if more.isEmpty():
+            return chosen.select("row")
+        chosen = chosen.union(more)
 
 
 def mix(
@@ -158,7 +155,6 @@ def mix(
     weights: tuple[int, ...] = WEIGHTS,
     repeats: int = REPEATS,
     seed: int = 42,
-    fills: int = 4,
     max_patterns: int = 100_000,
 ) -> DataFrame:
     """(id, row, size, sources, source_size, target, copies) for every row of `docs`.
@@ -204,7 +200,7 @@ def mix(
     by_pattern = spark.createDataFrame(
         plan, "pattern long, rounds int, rest long, source_size long, target double"
     )
-    extra = _seeded(members, by_pattern.select("pattern", "rest"), seed, fills).withColumn("one", F.lit(1))
+    extra = _seeded(members, by_pattern.select("pattern", "rest"), seed).withColumn("one", F.lit(1))
     return (
         members.join(by_pattern, "pattern")
         .join(extra, "row", "left")

@@ -314,3 +314,20 @@ def test_rare_scripts_and_group_size(spark):
         assert all(got[1000 + i] for i in range(n)), n
         assert all(got[i] for i in range(80)) and not got[2000]
     assert quality_rules.script_of("ሰላም ለዓለም".encode()) == "ethiopic" and quality_rules.script_of("გამარჯობა".encode()) == "georgian"
+
+
+def test_mix_fills_the_rest_past_long_documents(spark):
+    sizes = [400] * 300 + [90_000, 7, 3] + list(range(350, 450))
+    rows = [(i, n) for i, n in enumerate(sizes)]
+    members = spark.createDataFrame([(i, i, n, 1) for i, n in rows] + [(900, 900, 5000, 2)], "id long, row long, size long, pattern long").cache()
+    ranks = {r["row"]: (r["range"], r["o"]) for r in members.select("row", mixing._order(42).alias("o")).withColumn(
+        "range", F.pmod(F.shiftrightunsigned("o", 40), F.lit(mixing._BUCKETS))).collect()}
+    for rest in (89_999, 60_123, 399, 6):
+        got = mixing._seeded(members, spark.createDataFrame([(1, rest), (2, 0)], "pattern long, rest long"), 42)
+        want, gap = set(), rest
+        for i, n in sorted(rows, key=lambda r: (*ranks[r[0]], r[0])):
+            if n <= gap:
+                want.add(i)
+                gap -= n
+        assert {r["row"] for r in got.collect()} == want
+        assert gap < min(n for i, n in rows if i not in want) and gap < 400
