@@ -48,6 +48,11 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """`docs` with a number `_row` of each row, staged, so that every reader sees the same numbers."""
+    return staged(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+
+
 def text_bytes(text_col: str = "text") -> Column:
     """UTF-8 bytes of a text, null as empty."""
     return F.coalesce(F.col(text_col).cast("binary"), F.lit(b""))
