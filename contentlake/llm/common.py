@@ -53,6 +53,18 @@ def numbered(docs: DataFrame) -> DataFrame:
     return staged(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
 
 
+def row_key(id_col: str, *others: str) -> Column:
+    """A row's id and a hash of its other columns: rows of one key are equal in what a decision on them reads."""
+    return F.struct(F.col(id_col).alias("id"), F.xxhash64(*others).alias("row"))
+
+
+def without(keyed: DataFrame, out: DataFrame) -> DataFrame:
+    """`keyed` less the rows whose `_key` (see `row_key`) is in `out`, and less that column."""
+    gone = out.select(F.col("_key.id").alias("_id"), F.col("_key.row").alias("_row")).distinct()
+    same = keyed["_key.id"].eqNullSafe(gone["_id"]) & (keyed["_key.row"] == gone["_row"])
+    return keyed.join(gone, same, "left_anti").drop("_key")
+
+
 def text_bytes(text_col: str = "text") -> Column:
     """UTF-8 bytes of a text, null as empty."""
     return F.coalesce(F.col(text_col).cast("binary"), F.lit(b""))

@@ -22,7 +22,7 @@ import heapq
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from contentlake.llm.common import staged, word_count
+from contentlake.llm.common import numbered, staged, word_count
 
 WEIGHTS = (5, 2, 1)
 REPEATS = 3
@@ -156,11 +156,13 @@ def mix(
     repeats: int = REPEATS,
     seed: int = 42,
     max_patterns: int = 100_000,
+    row_col: str | None = None,
 ) -> DataFrame:
     """(id, row, size, sources, source_size, target, copies) for every row of `docs`.
 
     source: a string column, or an array of strings for documents in several sources; by
     default the column `source`. source_size and target are those of the first source.
+    row_col: a column that numbers the rows, if there is one.
     """
     src = F.col("source") if source is None else source
     kind = docs.select(src.alias("s")).schema["s"].dataType.typeName()
@@ -168,7 +170,7 @@ def mix(
     members = staged(
         docs.select(
             F.col(id_col).alias("id"),
-            F.monotonically_increasing_id().alias("row"),
+            (F.col(row_col) if row_col else F.monotonically_increasing_id()).alias("row"),
             word_count(F.col(text_col)).alias("size"),
             # Null stands last in an ascending sort_array once the others carry a mark.
             F.array_sort(F.array_distinct(sets)).alias("sources"),
@@ -218,8 +220,9 @@ def mix(
 
 def repeat_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
     """`docs` with each row as often as the mix takes it, columns as they were."""
-    counted = mix(docs, id_col, text_col, **how).where("copies > 0")
-    once = counted.groupBy("id").agg(F.max("copies").alias("_copies")).withColumnRenamed("id", "_id")
-    kept = docs.join(once, docs[id_col].eqNullSafe(once["_id"]))
+    rows = numbered(docs)
+    counted = mix(rows, id_col, text_col, row_col="_row", **how).where("copies > 0")
+    times = counted.select(F.col("row").alias("_of"), F.col("copies").alias("_copies"))
+    kept = rows.join(times, rows["_row"] == times["_of"])
     copies = F.explode(F.sequence(F.lit(1), F.col("_copies")))
-    return kept.withColumn("_copy", copies).select(*[docs[c] for c in docs.columns])
+    return kept.withColumn("_copy", copies).select(*docs.columns)

@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from contentlake.llm.common import staged, text_bytes
+from contentlake.llm.common import row_key, staged, text_bytes, without
 
 WINDOW = 8
 MIN_WORDS = 20
@@ -224,7 +224,9 @@ def judge(
     return judged.select(F.col("id").alias(id_col), *[c for c in rows.columns if c != "id"], kept.alias("kept"))
 
 
-def keep_good(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
-    """`docs` without the rejected rows, columns as they were; rows of one id share their fate."""
-    bad = judge(docs, vocabulary, id_col, text_col, **how).where("not kept").select(F.col(id_col).alias("_bad")).distinct()
-    return docs.join(bad, docs[id_col].eqNullSafe(bad["_bad"]), "left_anti")
+def keep_good(
+    docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text", lang_col: str | None = "lang", **how
+) -> DataFrame:
+    """`docs` without the rejected rows, columns as they were. A verdict holds for the rows of its id, text and language."""
+    keyed = docs.withColumn("_key", row_key(id_col, text_col, *[lang_col] * bool(lang_col)))
+    return without(keyed, judge(keyed, vocabulary, "_key", text_col, lang_col, **how).where("not kept"))

@@ -367,3 +367,24 @@ def test_near_texts(spark, leaders):
             want.append(r)
     assert Counter(kept) == Counter(want) and stage.columns == df.columns
     assert near_texts.keep_one(df.limit(0)).count() == 0
+
+
+def test_stages_decide_by_row(spark):
+    piece = public_tokenizers.path("piece_bpe_32k.model")
+    good = [sentence(i, 60) for i in range(700, 706)]
+    item = " ".join(f"q{i}" for i in range(30))
+    rows = [(None, good[0], "en", "s1"), (None, "bad", "en", "s1"), (None, good[1], "en", "s2"), (3, good[2], "en", "s2"), (3, "bad", "en", "s1"),
+            (4, good[3] + " " + item, "en", "s1"), (4, good[4], "en", "s1"), (None, good[5] + " " + item, "en", "s2"), (3, None, None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    kept = quality_rules.keep_good(df, piece)
+    assert Counter(map(tuple, kept.collect())) == Counter(r for r in rows if r[1] not in ("bad", None)) and kept.columns == df.columns
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    clean = decontaminate.drop_leaking(df, bench)
+    assert Counter(map(tuple, clean.collect())) == Counter(r for r in rows if item not in (r[1] or "")) and clean.columns == df.columns
+    many = [(None if i % 2 else 1, sentence(i, 10 + 7 * i), "en", ("s1", "s2", "s3")[i % 5 % 3]) for i in range(60)]
+    many = spark.createDataFrame(many, df.schema)
+    want = Counter()
+    for r in mixing.mix(many).collect():
+        want[r["id"], r["size"]] += r["copies"]
+    got = Counter((r["doc_id"], len(words(r["text"]))) for r in mixing.repeat_rows(many).collect())
+    assert got == +want
