@@ -9,7 +9,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from contentlake.llm import decontaminate, mixing, near_texts, quality_rules, token_output
+from contentlake.llm import decontaminate, mixing, quality_rules, simhash_dedup, token_output
 from contentlake.llm.common import staged, table
 
 
@@ -18,7 +18,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return near_texts.keep_one(docs)
+    return simhash_dedup.keep_one(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,7 +35,7 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("quality rules", quality),
-    ("near duplicates", near_duplicates),
+    ("SimHash near-dedup", near_duplicates),
     ("benchmark decontamination", decontamination),
     ("mixing", mix),
     ("token output", tokens),
