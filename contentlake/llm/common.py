@@ -48,21 +48,33 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def numbered(docs: DataFrame) -> DataFrame:
-    """`docs` with a number `_row` of each row, staged, so that every reader sees the same numbers."""
-    return staged(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+def free_name(df: DataFrame, name: str) -> str:
+    """`name`, lengthened until no column of `df` has it (names differ by more than case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
-def row_key(id_col: str, *others: str) -> Column:
-    """A row's id and a hash of its other columns: rows of one key are equal in what a decision on them reads."""
-    return F.struct(F.col(id_col).alias("id"), F.xxhash64(*others).alias("row"))
+def numbered(docs: DataFrame) -> tuple[DataFrame, str]:
+    """`docs` with a number for each row, staged, so that every reader sees the same numbers; and the
+    name of that column, which none of `docs` has."""
+    name = free_name(docs, "_row")
+    return staged(docs.withColumn(name, F.monotonically_increasing_id()), "numbered"), name
 
 
-def without(keyed: DataFrame, out: DataFrame) -> DataFrame:
-    """`keyed` less the rows whose `_key` (see `row_key`) is in `out`, and less that column."""
-    gone = out.select(F.col("_key.id").alias("_id"), F.col("_key.row").alias("_row")).distinct()
-    same = keyed["_key.id"].eqNullSafe(gone["_id"]) & (keyed["_key.row"] == gone["_row"])
-    return keyed.join(gone, same, "left_anti").drop("_key")
+def with_key(docs: DataFrame, id_col: str, *others: str) -> tuple[DataFrame, str]:
+    """`docs` with a row's id and a hash of its other columns, and the name of that column: rows of one
+    key are equal in what a decision on them reads."""
+    name = free_name(docs, "_key")
+    return docs.withColumn(name, F.struct(F.col(id_col).alias("id"), F.xxhash64(*others).alias("row"))), name
+
+
+def without(keyed: DataFrame, out: DataFrame, key: str) -> DataFrame:
+    """`keyed` less the rows whose `key` (see `with_key`) is in `out`, and less that column."""
+    gone = out.select(F.col(f"{key}.id").alias("_gone_id"), F.col(f"{key}.row").alias("_gone_row")).distinct()
+    same = keyed[f"{key}.id"].eqNullSafe(gone["_gone_id"]) & (keyed[f"{key}.row"] == gone["_gone_row"])
+    return keyed.join(gone, same, "left_anti").drop(key)
 
 
 def text_bytes(text_col: str = "text") -> Column:

@@ -22,7 +22,7 @@ import heapq
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from contentlake.llm.common import numbered, staged, word_count
+from contentlake.llm.common import free_name, numbered, staged, word_count
 
 WEIGHTS = (5, 2, 1)
 REPEATS = 3
@@ -220,9 +220,9 @@ def mix(
 
 def repeat_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
     """`docs` with each row as often as the mix takes it, columns as they were."""
-    rows = numbered(docs)
-    counted = mix(rows, id_col, text_col, row_col="_row", **how).where("copies > 0")
-    times = counted.select(F.col("row").alias("_of"), F.col("copies").alias("_copies"))
-    kept = rows.join(times, rows["_row"] == times["_of"])
-    copies = F.explode(F.sequence(F.lit(1), F.col("_copies")))
-    return kept.withColumn("_copy", copies).select(*docs.columns)
+    rows, row_col = numbered(docs)
+    counted = mix(rows, id_col, text_col, row_col=row_col, **how).where("copies > 0")
+    times = counted.select("row", "copies")
+    kept = rows.join(times, rows[row_col] == times["row"])
+    copies = F.explode(F.sequence(F.lit(1), times["copies"])).alias(free_name(docs, "_copy"))
+    return kept.select(*[rows[c] for c in docs.columns], copies).select(*docs.columns)

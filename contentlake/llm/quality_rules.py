@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from contentlake.llm.common import row_key, staged, text_bytes, without
+from contentlake.llm.common import with_key, staged, text_bytes, without
 
 WINDOW = 8
 MIN_WORDS = 20
@@ -228,5 +228,5 @@ def keep_good(
     docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text", lang_col: str | None = "lang", **how
 ) -> DataFrame:
     """`docs` without the rejected rows, columns as they were. A verdict holds for the rows of its id, text and language."""
-    keyed = docs.withColumn("_key", row_key(id_col, text_col, *[lang_col] * bool(lang_col)))
-    return without(keyed, judge(keyed, vocabulary, "_key", text_col, lang_col, **how).where("not kept"))
+    keyed, key = with_key(docs, id_col, text_col, *[lang_col] * bool(lang_col))
+    return without(keyed, judge(keyed, vocabulary, key, text_col, lang_col, **how).where("not kept"), key)

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from contentlake.llm.common import staged, text_bytes
+from contentlake.llm.common import numbered, staged, text_bytes
 from contentlake.llm.components import components
 
 SEED = 42
@@ -210,6 +210,20 @@ def link_fingerprints(fps: DataFrame, radius: int, blocks: int, bucket_limit: in
     return edges
 
 
+def _rooted(
+    rows: DataFrame, shingle: int, radius: int, blocks: int, bucket_limit: int
+) -> tuple[DataFrame, DataFrame]:
+    """(id, fp) of every row of `rows` (id, text), and (fp, first, root) of every fingerprint: its
+    smallest id and its component."""
+    marked = staged(rows.select("id", fingerprint_column(text_bytes("text"), shingle).alias("fp")), "fingerprints")
+    fps = marked.groupBy("fp").agg(F.min("id").alias("first"))
+    roots = components(link_fingerprints(fps.select("fp"), radius, blocks, bucket_limit))
+    rooted = fps.join(roots, fps["fp"] == roots["node"], "left").select(
+        "fp", "first", F.coalesce("root", "fp").alias("root")
+    )
+    return marked, rooted
+
+
 def near_duplicates(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -223,15 +237,7 @@ def near_duplicates(
 
     component_id is the smallest id reachable over links, the row's own included.
     """
-    marked = staged(
-        docs.select(F.col(id_col).alias("id"), fingerprint_column(text_bytes(text_col), shingle).alias("fp")),
-        "fingerprints",
-    )
-    fps = marked.groupBy("fp").agg(F.min("id").alias("first"))
-    roots = components(link_fingerprints(fps.select("fp"), radius, blocks, bucket_limit))
-    rooted = fps.join(roots, fps["fp"] == roots["node"], "left").select(
-        "fp", "first", F.coalesce("root", "fp").alias("root")
-    )
+    marked, rooted = _rooted(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), shingle, radius, blocks, bucket_limit)
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     of_fp = rooted.join(least, "root").select("fp", "component_id")
     return marked.join(of_fp, "fp").select(
@@ -241,11 +247,22 @@ def near_duplicates(
     )
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
-    """`docs` without the rows that are not the first of their group, columns as they were.
+def keep_one(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    shingle: int = 4,
+    radius: int = 4,
+    blocks: int = 7,
+    bucket_limit: int = 20_000,
+) -> DataFrame:
+    """The first row of each group of `docs`, columns as they were.
 
-    Rows with a null id are kept; rows that share an id share its fate.
+    The first is that of the smallest id, null ids last; rows are told apart by number, so of
+    equal rows, repeated ids and null ids one stays as of any group.
     """
-    found = near_duplicates(docs, id_col, text_col, **how)
-    gone = found.where(F.col(id_col) > F.col("component_id")).select(F.col(id_col).alias("_gone")).distinct()
-    return docs.join(gone, docs[id_col] == gone["_gone"], "left_anti")
+    rows, row_col = numbered(docs)
+    me = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("of"), F.col(row_col).alias("row"))
+    _, rooted = _rooted(rows.select(me.alias("id"), F.col(text_col).alias("text")), shingle, radius, blocks, bucket_limit)
+    first = rooted.groupBy("root").agg(F.min("first").alias("first")).select("first.row")
+    return rows.join(first, rows[row_col] == first["row"], "left_semi").select(*docs.columns)

@@ -18,7 +18,6 @@ from contentlake.llm import (
     language_id,
     line_dedup,
     mixing,
-    near_texts,
     quality_rules,
     secret_scan,
     simhash_dedup,
@@ -108,8 +107,20 @@ def test_near_duplicates(spark, docs, limit):
 def test_keep_one(docs):
     kept = simhash_dedup.keep_one(docs)
     assert kept.columns == docs.columns
-    ids = Counter(r["doc_id"] for r in kept.collect())
-    assert ids[5] == 2 and 6 not in ids and ids[None] == 1
+    # Brute force: rows in the order of ids, null last; one with a link to a group belongs to it.
+    rows = sorted(odd_rows(), key=lambda r: (r[0] is None, r[0] or 0))
+    fp = [brute_fingerprint(r[1]) for r in rows]
+    root = list(range(len(rows)))
+    for _ in rows:
+        for i, a in enumerate(fp):
+            for j, b in enumerate(fp):
+                if bin(a ^ b).count("1") <= 4:
+                    root[i] = root[j] = min(root[i], root[j])
+    want = Counter(rows[i] for i in set(root))
+    got = Counter(map(tuple, kept.collect()))
+    # Of rows that share the smallest id of a group either may stay.
+    assert Counter(r[0] for r in got.elements()) == Counter(r[0] for r in want.elements())
+    assert sum(got.values()) == len(set(root)) and not got - Counter(rows)
 
 
 @pytest.mark.parametrize("limit", [200_000, 5])
@@ -334,41 +345,6 @@ def test_mix_fills_the_rest_past_long_documents(spark):
         assert gap < min(n for i, n in rows if i not in want) and gap < 400
 
 
-@pytest.mark.parametrize("leaders", [4, 1])
-def test_near_texts(spark, leaders):
-    import corpus_pipeline
-
-    rng = np.random.default_rng(3)
-    rows = []
-
-    def changed(base, k):
-        out = list(base)
-        for i in range(k):
-            out[(i + 1) * len(base) // (k + 1)] = f"new{rng.integers(1 << 40)}"
-        return " ".join(out)
-
-    def similarity(a, b):
-        a, b = ({tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} for w in (a.lower().split(), b.lower().split()))
-        return len(a & b) / len(a | b)
-
-    for i in range(40):
-        base = [f"w{x}" for x in rng.integers(0, 5000, 300)]
-        rows += [(10 * i, " ".join(base)), (10 * i + 1, changed(base, 3)), (10 * i + 2, changed(base, 6)), (10 * i + 3, changed(base, 20))]
-    hot = [f"h{x}" for x in rng.integers(0, 5000, 300)]
-    rows += [(5000 + i, changed(hot, 2)) for i in range(60)]
-    rows += [(None, rows[0][1]), (None, "a text of its own"), (0, rows[4][1]), (7, "another one"), (7, "another one"), (7, "and one more")]
-    df = spark.createDataFrame(rows, "doc_id long, text string")
-    stage = near_texts.keep_one(df, leaders=leaders) if leaders == 1 else corpus_pipeline.near_duplicates(spark, df, "")
-    kept = [tuple(r) for r in stage.collect()]
-    order = sorted(set(rows), key=lambda r: (r[0] is None, r[0] or 0))
-    want = []
-    for r in order:  # here no text is linked through one that leaves
-        if all(similarity(r[1], k[1]) < 0.8 for k in want):
-            want.append(r)
-    assert Counter(kept) == Counter(want) and stage.columns == df.columns
-    assert near_texts.keep_one(df.limit(0)).count() == 0
-
-
 def test_stages_decide_by_row(spark):
     piece = public_tokenizers.path("piece_bpe_32k.model")
     good = [sentence(i, 60) for i in range(700, 706)]
