@@ -158,12 +158,12 @@ ORACLES: dict[str, str] = {
     + " FROM rv",
     "safe_casts": RAW
     + """SELECT row_idx,
-  CASE WHEN regexp_full_match(vv, '[+-]?[0-9]+') THEN CAST(vv AS BIGINT) END AS vv_long,
-  CASE WHEN regexp_full_match(dibagikan, '[+-]?[0-9]+') THEN CAST(dibagikan AS BIGINT) END AS dibagikan_long,
-  CASE WHEN regexp_full_match(vv, '[+-]?[0-9]+[.]?[0-9]*') THEN CAST(vv AS DECIMAL(38,9)) END AS vv_money,
-  CASE WHEN regexp_full_match(komentar, '[+-]?[0-9]+[.]?[0-9]*') THEN CAST(komentar AS DOUBLE) END AS komentar_double,
+  CASE WHEN regexp_full_match(vv, '[+-]?[0-9]+') THEN TRY_CAST(vv AS BIGINT) END AS vv_long,
+  CASE WHEN regexp_full_match(dibagikan, '[+-]?[0-9]+') THEN TRY_CAST(dibagikan AS BIGINT) END AS dibagikan_long,
+  CASE WHEN regexp_full_match(vv, '[+-]?[0-9]+[.]?[0-9]*') THEN TRY_CAST(vv AS DECIMAL(38,9)) END AS vv_money,
+  CASE WHEN regexp_full_match(komentar, '[+-]?[0-9]+[.]?[0-9]*') THEN TRY_CAST(komentar AS DOUBLE) END AS komentar_double,
   CASE WHEN regexp_full_match(persentase_video_yang_ditonton_hingga_selesai, '[+-]?[0-9]+[.]?[0-9]*')
-    THEN CAST(persentase_video_yang_ditonton_hingga_selesai AS DOUBLE) END AS pct_double FROM rv""",
+    THEN TRY_CAST(persentase_video_yang_ditonton_hingga_selesai AS DOUBLE) END AS pct_double FROM rv""",
     "round_half_even": """SELECT l_orderkey, l_linenumber,
   CAST(round_even(CAST(l_quantity / 2 AS DECIMAL(38,9)), 0) AS BIGINT) AS half_quantity,
   CAST(round_even(CAST(l_extendedprice AS DECIMAL(38,9)), 0) AS BIGINT) AS price FROM lineitem""",

@@ -35,7 +35,8 @@ _FLOAT = rf"^[{WS_CLASS}]*[+-]?(?:{_DECIMAL}|(?i:inf|infinity|nan))[{WS_CLASS}]*
 def is_numeric_corrupt(c: str) -> str:
     """Forbidden characters, no readable number, or one whose whole part no bigint holds."""
     whole = f"substring_index(regexp_replace({c}, '[^0-9,]', ''), ',', 1)"
-    too_large = f"(length({whole}) > 18 AND try_cast({whole} AS bigint) IS NULL)"
+    # A cell of up to 18 characters has no more digits than a bigint holds: nearly all stop here.
+    too_large = f"(length({c}) > 18 AND length({whole}) > 18 AND try_cast({whole} AS bigint) IS NULL)"
     return f"coalesce(NOT {matches(c, NUMERIC_CELL)} OR {too_large}, false)"
 
 
