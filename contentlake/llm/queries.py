@@ -10,12 +10,15 @@ from pyspark.sql import functions as F
 
 from contentlake.llm import (
     decontaminate,
+    filter_audit,
     language_id,
     line_dedup,
     mixing,
+    packing,
     quality_rules,
     secret_scan,
     simhash_dedup,
+    spelling,
     substring_dedup,
     token_counts,
     token_output,
@@ -74,6 +77,18 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
@@ -85,6 +100,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_id_output": op8_token_id_output,
     "op9_secret_scan": op9_secret_scan,
     "op10_source_mix": op10_source_mix,
+    "op11_best_fit_packing": op11_best_fit_packing,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
-ORACLES: dict[str, str] = {"op3_line_dedup": line_dedup.ORACLE_SQL}
+ORACLES: dict[str, str] = {"op3_line_dedup": line_dedup.ORACLE_SQL, "op12_filter_audit": filter_audit.ORACLE_SQL}
