@@ -4,10 +4,10 @@
    run drops a letter here and there, which makes the variants to be found. Counts are
    combined within a task before they are shuffled.
 2. Chunks and grams. The shorter word of a pair (of equals the one first in order) gives two
-   disjoint chunks, its first and its last q letters, q half its length. The other
-   gives all its positional grams of that length that lie within one place of where such a
-   chunk stands. One edit leaves at least one chunk whole and moves it by one place at
-   most, so the pair meets on an equal chunk.
+   disjoint chunks, its first and its last q letters, q half its length. The other gives its
+   positional grams of that length. One edit leaves at least one chunk whole and shifts it by
+   one place at most, so the pair meets on an equal chunk. Which shift an edit can have
+   caused is known for either chunk, so grams at other places are not written.
 3. Pairs that meet are verified in the join itself, by edit distance 1; only true pairs come out.
 4. A word's form is its most frequent near word, if that is `ratio` times as frequent. As the
    frequency rises along forms, they have no cycle; roots are found by doubling the way.
@@ -94,17 +94,19 @@ def _chunks() -> Column:
 
 
 def _grams(min_length: int) -> Column:
-    """Keys of the positional grams that can equal a chunk of a word as long or one shorter, shifted by up to one."""
+    """Keys of the positional grams that can equal a chunk of a word as long or one letter shorter.
+
+    The first chunk is only left whole by an edit behind it, so it stands where it stood; the last one by an
+    edit before it, so it is shifted by the difference of the lengths. A gram at another place within one
+    of the chunk's would meet that chunk again or by chance, and find no pair that these do not.
+    """
     of, keys = F.length("word"), []
     for shorter in (0, 1):
         length = of - shorter
         q = F.floor(length / 2).cast("int")
-        # Chunks stand at 0 and length - q; a place outside the word gives no gram.
-        for kind, at, shifts in ((0, F.lit(0), (0, 1)), (1, length - q, (-1, 0, 1))):
-            for shift in shifts:
-                place = at + shift
-                gram = F.substring(F.col("word"), place + 1, q)
-                keys.append(F.when((length >= min_length) & (place + q <= of), _key(kind, length, gram)))
+        for kind, place in ((0, F.lit(0)), (1, length - q + shorter)):
+            gram = F.substring(F.col("word"), place + 1, q)
+            keys.append(F.when(length >= min_length, _key(kind, length, gram)))
     return F.array_compact(F.array(*keys))
 
 
