@@ -8,7 +8,8 @@
    positional grams of that length. One edit leaves at least one chunk whole and shifts it by
    one place at most, so the pair meets on an equal chunk. Which shift an edit can have
    caused is known for either chunk, so grams at other places are not written.
-3. Pairs that meet are verified in the join itself, by edit distance 1; only true pairs come out.
+3. Pairs that meet are verified in the join itself, so only true pairs come out: half of the other
+   letters must be equal as well, and the edit distance 1.
 4. A word's form is its most frequent near word, if that is `ratio` times as frequent. As the
    frequency rises along forms, they have no cycle; roots are found by doubling the way.
 
@@ -82,32 +83,29 @@ def vocabulary(
     return counted.groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count)
 
 
-def _key(kind: int, length: Column, gram: Column) -> Column:
-    return F.xxhash64(F.lit(kind), length, gram)
-
-
-def _chunks() -> Column:
-    """Keys of a word's two disjoint chunks: (which, its length, letters)."""
-    q = F.floor(F.length("word") / 2).cast("int")
-    first, last = F.substring(F.col("word"), F.lit(1), q), F.substring(F.col("word"), F.length("word") - q + 1, q)
-    return F.array(_key(0, F.length("word"), first), _key(1, F.length("word"), last))
+def _meet(shorter: int) -> list[Column]:
+    """(key, front, back) for the first and the last chunk of a word `shorter` letters less long than `word`.
 
+    key: which chunk, the length of its word, and the letters that stand where an edit can have left them:
+    the first chunk is only left whole by an edit behind it, so it stands where it stood; the last one
+    by an edit before it, so it is shifted by the difference of the lengths. A gram at another place within
+    one of the chunk's would find no pair that these do not.
+    front, back: the two parts of the letters outside the chunk; one edit leaves one of them as it was, too.
+    """
+    length = F.length("word") - shorter
+    q = F.floor(length / 2).cast("int")
+    half = F.floor((length - q) / 2).cast("int")
 
-def _grams(min_length: int) -> Column:
-    """Keys of the positional grams that can equal a chunk of a word as long or one letter shorter.
+    def letters(at: Column, n: Column) -> Column:
+        return F.substring(F.col("word"), at + 1, n)
 
-    The first chunk is only left whole by an edit behind it, so it stands where it stood; the last one by an
-    edit before it, so it is shifted by the difference of the lengths. A gram at another place within one
-    of the chunk's would meet that chunk again or by chance, and find no pair that these do not.
-    """
-    of, keys = F.length("word"), []
-    for shorter in (0, 1):
-        length = of - shorter
-        q = F.floor(length / 2).cast("int")
-        for kind, place in ((0, F.lit(0)), (1, length - q + shorter)):
-            gram = F.substring(F.col("word"), place + 1, q)
-            keys.append(F.when(length >= min_length, _key(kind, length, gram)))
-    return F.array_compact(F.array(*keys))
+    out = []
+    for kind, chunk_at, rest_at in ((0, F.lit(0), q), (1, length - q + shorter, F.lit(0))):
+        key = F.xxhash64(F.lit(kind), length, letters(chunk_at, q))
+        front = F.xxhash64(letters(rest_at, half))
+        back = F.xxhash64(letters(rest_at + half + shorter, length - q - half))
+        out.append(F.struct(key.alias("key"), front.alias("front"), back.alias("back")))
+    return out
 
 
 def near_pairs(words: DataFrame, min_length: int = MIN_LENGTH) -> DataFrame:
@@ -115,11 +113,14 @@ def near_pairs(words: DataFrame, min_length: int = MIN_LENGTH) -> DataFrame:
 
     Words need `min_length` letters or more, at least 2.
     """
-    chunks = words.select(F.explode(_chunks()).alias("key"), F.col("word").alias("a"), F.col("n").alias("a_n"))
-    grams = words.select(F.explode(_grams(min_length)).alias("key"), F.col("word").alias("b"), F.col("n").alias("b_n"))
+    fits = F.length("word") > min_length  # a word one letter shorter is long enough
+    grams_at = F.array_compact(F.array(*_meet(0), *[F.when(fits, x) for x in _meet(1)]))
+    chunks = words.select(F.explode(F.array(*_meet(0))).alias("c"), F.col("word").alias("a"), F.col("n").alias("a_n"))
+    grams = words.select(F.explode(grams_at).alias("g"), F.col("word").alias("b"), F.col("n").alias("b_n"))
+    chunks, grams = chunks.select("c.*", "a", "a_n"), grams.select("g.*", "b", "b_n")
     ordered = (F.length("a") < F.length("b")) | ((F.length("a") == F.length("b")) & (F.col("a") < F.col("b")))
-    near = ordered & (F.levenshtein("a", "b", 1) == 1)
-    met = chunks.join(grams, (chunks["key"] == grams["key"]) & near)
+    alike = (chunks["front"] == grams["front"]) | (chunks["back"] == grams["back"])
+    met = chunks.join(grams, (chunks["key"] == grams["key"]) & alike & ordered & (F.levenshtein("a", "b", 1) == 1))
     return met.select("a", "a_n", "b", "b_n").distinct()
 
 
