@@ -4,11 +4,12 @@ Documents are counted by the set of sources they belong to. Each source sends it
 words to patterns that hold it; the first use of a pattern's words is free, each further
 use costs more, so the flow repeats as little as the quotas allow. What a pattern receives
 is then taken from its documents in seeded order: whole rounds for all, and the rest of it
-from each document in turn that still fits. What stays open of a pattern's rest is smaller
-than every document of it that was not taken.
+from each document in turn that still fits. What stays open is smaller than every document
+that was not taken; the document, or further copy of one, that brings the sum nearest is added
+as long as one brings it nearer.
 
-Only counts travel to the driver: a row per source and per pattern. Patterns are as many
-as distinct source sets, bounded by `max_patterns` (more raise an error, none are cut).
+Only counts travel to the driver and to all tasks: a row per source and per pattern. Patterns are
+as many as distinct source sets, bounded by `max_patterns` (more raise an error, none are cut).
 
 Defined cases: a null source is a source of its own, last in order; a null or wordless
 text has size 0 and is never taken; rows with equal ids are separate documents, ties in
@@ -112,7 +113,7 @@ def _seeded(members: DataFrame, rest: DataFrame, seed: int) -> DataFrame:
     alone but not behind the others, so the gap falls below its size.
     """
     ranged = staged(
-        members.join(rest, "pattern")
+        members.join(F.broadcast(rest), "pattern")
         .where("size > 0 and size <= rest")
         .select("id", "row", "size", "pattern", _order(seed).alias("o"))
         .withColumn("range", F.pmod(F.shiftrightunsigned("o", 40), F.lit(_BUCKETS)).cast("int")),
@@ -128,7 +129,7 @@ def _seeded(members: DataFrame, rest: DataFrame, seed: int) -> DataFrame:
         gap = rest.join(taken, "pattern", "left").select(
             "pattern", (F.col("rest") - F.coalesce("sum", F.lit(0))).alias("gap")
         )
-        fitting = ranged.join(gap, "pattern").where("size <= gap").join(chosen.select("row"), "row", "left_anti")
+        fitting = ranged.join(F.broadcast(gap), "pattern").where("size <= gap").join(chosen.select("row"), "row", "left_anti")
         counted = fitting.groupBy("pattern", "range").agg(F.sum("size").alias("words"))
         ranges = counted.select(
             "pattern", "range", "words", F.coalesce(F.sum("words").over(before), F.lit(0)).alias("below")
@@ -147,6 +148,26 @@ def _seeded(members: DataFrame, rest: DataFrame, seed: int) -> DataFrame:
         chosen = chosen.union(more)
 
 
+def _nearest(placed: DataFrame, repeats: int) -> DataFrame:
+    """(row, more): further copies of rows of `placed` (row, size, pattern, got, copies) that bring the
+    sum of their pattern nearer to `got`, one at a time, the nearest first."""
+    open_to = placed.where("size > 0").select("row", "size", "pattern", "got", "copies")
+    words = open_to.groupBy("pattern").agg(F.max("got").alias("got"), F.sum(F.col("size") * F.col("copies")).alias("taken"))
+    gap = staged(words.select("pattern", (F.col("got") - F.col("taken")).alias("gap")).where("gap > 0"), "gap")
+    more = placed.select("row").limit(0).withColumn("more", F.lit(0))
+    while True:
+        far = F.abs(F.col("size") - F.col("gap"))
+        # As many rows of `more` as patterns at most, times the few rounds.
+        now = open_to.join(F.broadcast(gap), "pattern").join(F.broadcast(more), "row", "left")
+        usable = now.where((F.col("copies") + F.coalesce("more", F.lit(0)) < repeats) & (far < F.col("gap")))
+        best = usable.groupBy("pattern").agg(F.min(F.struct(far.alias("far"), "row", "size")).alias("best"), F.max("gap").alias("gap"))
+        best = staged(best.select("pattern", "best.row", (F.col("gap") - F.col("best.size")).alias("gap")), "nearest")
+        if best.isEmpty():
+            return more
+        more = staged(more.union(best.select("row", F.lit(1))).groupBy("row").agg(F.sum("more").cast("int").alias("more")), "more")
+        gap = best.select("pattern", "gap").where("gap > 0")
+
+
 def mix(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -197,24 +218,25 @@ def mix(
         rounds = got // words if words else 0
         first = r["sources"][0] if r["sources"] else None
         plan.append(
-            (r["pattern"], int(rounds), int(got - rounds * words), sizes.get(first, 0), float(share.get(first, 0.0)))
+            (r["pattern"], int(got), int(rounds), int(got - rounds * words), sizes.get(first, 0), float(share.get(first, 0.0)))
         )
     by_pattern = spark.createDataFrame(
-        plan, "pattern long, rounds int, rest long, source_size long, target double"
+        plan, "pattern long, got long, rounds int, rest long, source_size long, target double"
     )
     extra = _seeded(members, by_pattern.select("pattern", "rest"), seed).withColumn("one", F.lit(1))
-    return (
-        members.join(by_pattern, "pattern")
-        .join(extra, "row", "left")
-        .select(
-            "id",
-            "row",
-            "size",
-            "sources",
-            "source_size",
-            "target",
-            F.when(F.col("size") > 0, F.col("rounds") + F.coalesce("one", F.lit(0))).otherwise(0).alias("copies"),
-        )
+    copies = F.when(F.col("size") > 0, F.col("rounds") + F.coalesce("one", F.lit(0))).otherwise(0)
+    placed = staged(
+        members.join(F.broadcast(by_pattern), "pattern").join(extra, "row", "left").withColumn("copies", copies), "placed"
+    )
+    more = F.broadcast(_nearest(placed, repeats))
+    return placed.join(more, "row", "left").select(
+        "id",
+        "row",
+        "size",
+        "sources",
+        "source_size",
+        "target",
+        (F.col("copies") + F.coalesce("more", F.lit(0))).alias("copies"),
     )
 
 

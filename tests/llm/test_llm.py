@@ -190,6 +190,10 @@ def test_mix(docs, empty):
         assert 0 <= r["copies"] <= 3
     assert sum(t for t, *_ in by.values()) == pytest.approx(sum(r["size"] for r in got))
     assert all(abs(taken - t) <= most for t, taken, most in by.values())
+    # No further copy of a document brings a source nearer (the targets are rounded to whole words).
+    for r in got:
+        t, taken, _ = by[r["source_size"]]
+        assert r["size"] == 0 or r["copies"] == 3 or abs(taken + r["size"] - round(t)) >= abs(taken - round(t))
     assert sorted(map(tuple, mixing.mix(docs).collect()), key=str) == sorted(map(tuple, got), key=str)
     assert mixing.repeat_rows(docs).columns == docs.columns
 
