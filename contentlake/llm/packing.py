@@ -305,7 +305,8 @@ def pack(
     bases = staged(of_task.withColumn("base", F.coalesce(F.sum("n").over(earlier), F.lit(0))), "bases")
     counts = bases.groupBy("length").agg(F.sum("n").alias("n")).collect()  # `capacity` rows at most
     plan = plan_for({r["length"]: r["n"] for r in counts}, capacity)
-    numbered = pieces.join(bases.drop("n"), ["part", "length"])
+    # A row of `bases` per task and length grows with the input: shuffled, not broadcast.
+    numbered = pieces.join(bases.drop("n").hint("merge"), ["part", "length"])
     place = _placed(plan)(F.col("length"), F.col("base") + F.col("number"))
     ids = ["ids"] * with_ids
     return numbered.select("id", "piece", "start", "length", "ids_crc32", *ids, place.alias("p")).select(
