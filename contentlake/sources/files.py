@@ -20,6 +20,12 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
 
 
+def remove(spark: SparkSession, path: str) -> bool:
+    """Delete a file or folder with all it holds; False if there is none."""
+    fs, p = _fs(spark, path)
+    return fs.delete(p, True)
+
+
 def has_files(spark: SparkSession, path: str) -> bool:
     """A table directory with at least one entry that is not a marker or temporary."""
     return any(not n.startswith(("_", ".")) for n in child_names(spark, path))
