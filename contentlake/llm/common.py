@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,8 +36,25 @@ def shared_dir(spark: SparkSession) -> str:
     return _OWN_ROOT[0]
 
 
+#: Lists that take the paths made while they are open; see `recorded`.
+_RECORDS: list[list[str]] = []
+
+
+@contextmanager
+def recorded(paths: list[str]) -> Iterator[None]:
+    """Adds to `paths` what is staged meanwhile, for a caller who knows when nothing reads it any more."""
+    _RECORDS.append(paths)
+    try:
+        yield
+    finally:
+        _RECORDS.pop()
+
+
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/llm/{uuid.uuid4().hex}/{name}"
+    path = f"{shared_dir(spark)}/llm/{uuid.uuid4().hex}/{name}"
+    for paths in _RECORDS[-1:]:
+        paths.append(path)
+    return path
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:

@@ -265,4 +265,5 @@ def keep_one(
     me = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("of"), F.col(row_col).alias("row"))
     _, rooted = _rooted(rows.select(me.alias("id"), F.col(text_col).alias("text")), shingle, radius, blocks, bucket_limit)
     first = rooted.groupBy("root").agg(F.min("first").alias("first")).select("first.row")
-    return rows.join(first, rows[row_col] == first["row"], "left_semi").select(*docs.columns)
+    # A row per group grows with the input: shuffled at every size, never broadcast.
+    return rows.join(first.hint("merge"), rows[row_col] == first["row"], "left_semi").select(*docs.columns)
