@@ -90,6 +90,20 @@ def _values() -> str:
 _VALUES_SQL = (*_AFFECTED_SQL, _values())
 
 
+def _parts(name: str, values: str, size: int, also: str = "") -> str:
+    """Sorted values in parts of `size`, per key (and `also`)."""
+    return f"""{name} AS (SELECT {also}sheet_name, creds, error_date, part, string_agg(bad_value, '|' ORDER BY bad_value) AS bad_values
+  FROM (SELECT *, CAST((row_number() OVER (PARTITION BY {also}sheet_name, creds, error_date ORDER BY bad_value) - 1) // {size} AS BIGINT) AS part
+    FROM {values}) r GROUP BY ALL)"""
+
+
+_PARTS = _parts("parts", "vals", 100)
+_FULL = f"""full_entries AS (SELECT {', '.join('e.' + c for c in _ENTRY_COLS.split(', '))},
+  coalesce(p.part, 0) AS part, coalesce(p.bad_values, '') AS bad_values
+  FROM entries e LEFT JOIN parts p ON p.sheet_name = e.sheet_name AND p.creds = e.creds AND p.error_date = e.error_date)"""
+_FULL_SQL = (*_VALUES_SQL, _ENTRIES, _PARTS, _FULL)
+
+
 def _recovered(inside: bool) -> str:
     keep = "IN" if inside else "NOT IN"
     return f"""SELECT row_idx, sheet_name, creds FROM av WHERE NOT is_error AND NOT is_blank
@@ -127,16 +141,67 @@ _BATCH = (
 _SILVER_V = ", ".join((*o.SILVER_VIDEO_COLUMNS, *LINEAGE.split(", ")))
 _SILVER_P = ", ".join((*o.SILVER_PRODUCTION_COLUMNS, *LINEAGE.split(", ")))
 
-# Open entries after the last run: of a key the newest, unless a later run had as many valid rows.
-_JOB_MANIFEST = (
-    *o.JOB_ANN_VIDEO,
-    f"affected AS (SELECT run_no, {_AFFECTED_NAMES} FROM av GROUP BY run_no)",
-    f"""counts AS (SELECT run_no, sheet_name, creds, strftime(d0, '%Y-%m-%d') AS error_date, count(*) AS n_valid
-  FROM av WHERE NOT is_error AND NOT is_blank GROUP BY ALL)""",
-    f"""newest AS (SELECT * FROM (SELECT run_no, sheet_name, creds, {_ERR_DATE} AS error_date, count(*) AS n_rows
-  FROM av WHERE is_error GROUP BY ALL) e
+# --- The daily job ---------------------------------------------------------------------------
+
+_PRODUCTION_DATES = {d: d for d in PRODUCTION.date_columns}
+_JOBS = {  # dataset: annotated rows, columns whose values are listed, affected columns
+    "video": ("av", {**o.NUMERIC, **o.PERCENT, **o.RAW_DATES}, _AFFECTED_NAMES),
+    "produksi": (
+        "ap",
+        _PRODUCTION_DATES,
+        "concat_ws('|', CASE WHEN bool_or(bad0) THEN 'tanggal' END, CASE WHEN bool_or(bad1) THEN 'tanggal_jadi' END) AS names",
+    ),
+}
+
+
+def _job_values(name: str) -> tuple[str, ...]:
+    """Affected columns of each run and the distinct values its error rows hold in them."""
+    ann, columns, affected = _JOBS[name]
+    cells = " UNION ALL ".join(
+        f"SELECT run_no, sheet_name, creds, {_ERR_DATE} AS error_date, '{raw}' AS name, {o.strip(c)} AS bad_value FROM {ann} WHERE is_error"
+        for c, raw in columns.items()
+    )
+    return (
+        f"aff_{name} AS (SELECT run_no, {affected} FROM {ann} GROUP BY run_no)",
+        f"""vals_{name} AS (SELECT DISTINCT c.run_no, sheet_name, creds, error_date, bad_value FROM ({cells}) c
+  JOIN aff_{name} a ON a.run_no = c.run_no AND list_contains(string_split(a.names, '|'), c.name)
+  WHERE bad_value IS NOT NULL AND lower(bad_value) NOT IN ('', 'nan', 'none', '-', 'n/a', 'nat'))""",
+    )
+
+
+def _job_entries(name: str) -> tuple[str, ...]:
+    """Open entries after the last run: of a key the newest, unless a later run had as many valid rows."""
+    ann = _JOBS[name][0]
+    return (
+        f"""counts_{name} AS (SELECT run_no, sheet_name, creds, strftime(d0, '%Y-%m-%d') AS error_date, count(*) AS n_valid
+  FROM {ann} WHERE NOT is_error AND NOT is_blank GROUP BY ALL)""",
+        f"""newest_{name} AS (SELECT * FROM (SELECT run_no, sheet_name, creds, {_ERR_DATE} AS error_date, count(*) AS n_rows
+  FROM {ann} WHERE is_error GROUP BY ALL) e
   QUALIFY row_number() OVER (PARTITION BY sheet_name, creds, error_date ORDER BY run_no DESC) = 1)""",
-)
+        _parts(f"parts_{name}", f"vals_{name}", 10_000, "run_no, "),
+    )
+
+
+_SAME_KEY = "x.sheet_name = e.sheet_name AND x.creds = e.creds AND x.error_date = e.error_date"
+
+
+def _job_manifest(name: str) -> str:
+    return f"""SELECT '{name}' AS dataset, e.sheet_name, e.creds, e.error_date, a.names AS affected_columns, e.n_rows,
+  '2024-02-0' || e.run_no || 'T06:00:00' AS reported_at,
+  '{name}/date=2024020' || e.run_no || '/run_key=2024020' || e.run_no || '06/run=run' || e.run_no AS path,
+  'open' AS status, coalesce(x.part, 0) AS part, coalesce(x.bad_values, '') AS bad_values
+  FROM newest_{name} e JOIN aff_{name} a ON a.run_no = e.run_no LEFT JOIN parts_{name} x ON x.run_no = e.run_no AND {_SAME_KEY}
+  WHERE NOT EXISTS (SELECT 1 FROM counts_{name} x WHERE x.run_no > e.run_no AND {_SAME_KEY} AND x.n_valid = e.n_rows)"""
+
+
+# The folder keys of a run.
+_RUN_KEYS = "'2024020' || run_no AS date, '2024020' || run_no || '06' AS run_key, 'run' || run_no AS run"
+
+
+def _job_marks(name: str, loaded: str, sheet: str) -> str:
+    rows = " UNION ALL ".join(f"SELECT creds, tanggal, run_no FROM {loaded}{n}" for n in (1, 2, 3))
+    return f"""SELECT '{name}' AS dataset, creds, {sheet} AS sheet_name, strftime(max(tanggal), '%Y-%m-%d') AS last_processed_date,
+  '2024-02-0' || max(run_no) || 'T06:00:00' AS updated_at FROM ({rows}) u GROUP BY creds"""
 
 ORACLES: dict[str, str] = {
     "parse_mixed_dates": RAW
@@ -144,6 +209,8 @@ ORACLES: dict[str, str] = {
     "date_parse_failures": RAW
     + f"""SELECT {o.strip('tanggal')} AS cell, count(*) AS n_cells FROM rv WHERE {o.date('tanggal')} IS NULL
   AND {o.strip('tanggal')} NOT IN ('', '-', 'nan', 'None', 'NaT') GROUP BY 1""",
+    "parse_mixed_days": RAW
+    + f"SELECT row_idx, CAST({o.date('tanggal')} AS DATE) AS tanggal, CAST({o.date('waktu')} AS DATE) AS waktu FROM rv",
     "excel_serial_date": RAW
     + f"""SELECT row_idx, CASE WHEN regexp_full_match({o.strip('tanggal')}, '[0-9]{{3,6}}')
   AND CAST(regexp_extract({o.strip('tanggal')}, '^[0-9]+') AS INTEGER) BETWEEN 2 AND 73415
@@ -223,14 +290,14 @@ ORACLES: dict[str, str] = {
   count(*) FILTER (is_blank) AS n_blank_rows FROM av""",
     "validation_affected_dates": W(*ANN)
     + "SELECT DISTINCT d0 AS affected_date FROM av WHERE corrupt AND d0 IS NOT NULL",
-    "manifest_entries": W(*_ENTRIES_SQL) + f"SELECT {_ENTRY_COLS} FROM entries",
-    "manifest_json": W(*_ENTRIES_SQL) + f"SELECT {_ENTRY_COLS} FROM entries",
+    "manifest_entries": W(*_FULL_SQL) + "SELECT * FROM full_entries",
+    "manifest_json": W(*_FULL_SQL) + "SELECT * FROM full_entries",
     "manifest_bad_values": W(*_VALUES_SQL) + "SELECT * FROM vals",
-    "manifest_bad_value_parts": W(*_VALUES_SQL)
-    + """SELECT sheet_name, creds, error_date, 0::BIGINT AS part,
-  string_agg(bad_value, '|' ORDER BY bad_value) AS bad_values FROM vals GROUP BY ALL""",
-    "manifest_sync": W(*_SYNC_SQL)
-    + f"SELECT {_ENTRY_COLS} FROM entries UNION ALL SELECT {_ENTRY_COLS} FROM classified WHERE outcome = 'kept'",
+    "manifest_bad_value_parts": W(*_VALUES_SQL, _PARTS) + "SELECT * FROM parts",
+    "manifest_sync": W(*_FULL_SQL, _COUNTS, _OPEN, _CLASSIFIED)
+    + f"""SELECT * FROM full_entries
+  UNION ALL SELECT {_ENTRY_COLS}, 0, 'a|b' FROM classified WHERE outcome = 'kept'
+  UNION ALL SELECT {_ENTRY_COLS}, 1, 'c' FROM classified WHERE outcome = 'kept' AND error_date = 'INVALID_DATE'""",
     "manifest_fixes": W(*_SYNC_SQL)
     + f"""SELECT sheet_name, creds, error_date, affected_columns, '{REPORTED_AT}' AS resolved_at,
   path, 'fixed' AS status FROM classified WHERE outcome = 'resolved'""",
@@ -256,6 +323,10 @@ ORACLES: dict[str, str] = {
     "watermark_filter": W(*ANN, _MARKED) + "SELECT * FROM marked",
     "watermark_max_dates": W(*ANN, _MARKED)
     + "SELECT creds, strftime(max(tanggal), '%Y-%m-%d') AS max_date FROM marked GROUP BY creds",
+    "watermark_marked_day": W(*o.BRONZE_VIDEO)
+    + f"""SELECT row_idx, b.creds, tanggal, row_hash_raw FROM bv b LEFT JOIN ({v.MARKS_SQL}) m ON m.creds = b.creds
+  WHERE run_no = 2 AND (m.mark IS NULL OR tanggal >= CAST(m.mark AS TIMESTAMP) + INTERVAL 1 DAY
+    OR (tanggal >= CAST(m.mark AS TIMESTAMP) AND row_hash_raw NOT IN (SELECT row_hash_raw FROM bv WHERE run_no = 1)))""",
     "row_hash_raw_video": W(*o.BRONZE_VIDEO) + "SELECT row_idx, run_id, row_hash_raw FROM bv",
     "row_hash_raw_production": W(*o.BRONZE_PRODUCTION)
     + "SELECT row_idx, run_id, row_hash_raw FROM bp",
@@ -297,12 +368,25 @@ ORACLES: dict[str, str] = {
         *o.JOB_SILVER_VIDEO, *o.JOB_SILVER_PRODUCTION, "sp AS (SELECT * FROM pm3)", o.DEDUP
     )
     + f"SELECT {o.GOLD_SELECT} FROM vm3 a LEFT JOIN dim b ON a.id_video = b.id_konten",
-    "daily_job_manifest": W(*_JOB_MANIFEST)
-    + """SELECT e.sheet_name, e.creds, e.error_date, a.names AS affected_columns, e.n_rows,
-  '2024-02-0' || e.run_no || 'T06:00:00' AS reported_at,
-  'video/date=2024020' || e.run_no || '/run_key=2024020' || e.run_no || '06/run=run' || e.run_no AS path,
-  'open' AS status
-  FROM newest e JOIN affected a ON a.run_no = e.run_no
-  WHERE NOT EXISTS (SELECT 1 FROM counts c WHERE c.run_no > e.run_no AND c.sheet_name = e.sheet_name
-    AND c.creds = e.creds AND c.error_date = e.error_date AND c.n_valid = e.n_rows)""",
+    "daily_job_manifest": W(
+        *o.JOB_ANN_VIDEO, o.RUNS_PRODUCTION, o.ANN_PRODUCTION,
+        *[part for name in _JOBS for part in (*_job_values(name), *_job_entries(name))],
+    )
+    + " UNION ALL ".join(_job_manifest(name) for name in _JOBS),
+    "daily_job_watermarks": W(*o.JOB_BRONZE_VIDEO, *o.JOB_BRONZE_PRODUCTION)
+    + _job_marks("video", "bv", "CASE WHEN creds = 'cred3' THEN 'sheet4' ELSE 'sheet' || substr(creds, 5) END")
+    + " UNION ALL "
+    + _job_marks("produksi", "bp", "'produksi'"),
+    "daily_job_quarantine": W(*o.JOB_ANN_VIDEO, o.RUNS_PRODUCTION, o.ANN_PRODUCTION)
+    + f"""SELECT 'video' AS dataset, row_idx + 3 AS row_idx, {TAGS}, {o.reason(VIDEO)} AS error_reason, {_RUN_KEYS} FROM av WHERE is_error
+  UNION ALL SELECT 'produksi', row_idx + 1, {TAGS}, {o.reason(PRODUCTION)}, {_RUN_KEYS} FROM ap WHERE is_error""",
+    "daily_job_values": W(
+        *o.JOB_ANN_VIDEO, o.RUNS_PRODUCTION, o.ANN_PRODUCTION, *[part for name in _JOBS for part in _job_values(name)]
+    )
+    + " UNION ALL ".join(
+        f"SELECT '{name}' AS dataset, sheet_name, creds, error_date, bad_value, {_RUN_KEYS} FROM vals_{name}" for name in _JOBS
+    ),
+    "daily_job_landed": W(*o.JOB_BRONZE_VIDEO, *o.JOB_BRONZE_PRODUCTION)
+    + f"""SELECT 'video' AS dataset, tanggal, creds, row_hash_raw, {_RUN_KEYS} FROM bv
+  UNION ALL SELECT 'produksi', tanggal, creds, row_hash_raw, {_RUN_KEYS} FROM bp""",
 }

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import views as v
-from contentlake.functions.dates import excel_serial_date, is_date_token, parse_mixed_dates
+from contentlake.functions.dates import excel_serial_date, parse_mixed_dates
 from contentlake.functions.hashes import row_hash
 from contentlake.functions.numbers import (
     MONEY,
@@ -40,7 +40,7 @@ from contentlake.operators.naming import (
     union_sheets,
 )
 from contentlake.plans.bronze import bronze_batch, bronze_schema, build_bronze
-from contentlake.plans.daily import MANIFEST
+from contentlake.plans.daily import MANIFEST, WATERMARKS, read_gold
 from contentlake.plans.gold import gold_fact
 from contentlake.plans.silver import (
     SILVER_PRODUCTION_SCHEMA,
@@ -55,6 +55,7 @@ from contentlake.sources.tables import read_silver, read_table
 from contentlake.specs import PRODUCTION, SILVER_PRODUCTION_KEYS, SILVER_VIDEO_KEYS, VIDEO
 
 REPORTED_AT, PATH = "2024-02-01T06:00:00", "quarantine/video"
+PART_SIZE = 100  # small, so that most keys have several parts
 OUTCOME = f"CASE WHEN _blank THEN 'blank' WHEN {val.IS_ERROR} THEN 'error' ELSE 'valid' END AS outcome"
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -95,7 +96,8 @@ def _counts(spark, sf) -> DataFrame:
 
 
 def _entries(spark, sf) -> DataFrame:
-    return m.manifest_entries(_errors(spark, sf), _affected(spark, sf), REPORTED_AT, PATH)
+    entries = m.manifest_entries(_errors(spark, sf), _affected(spark, sf), REPORTED_AT, PATH)
+    return m.with_values(entries, _parts(spark, sf))
 
 
 def _values(spark, sf) -> DataFrame:
@@ -104,9 +106,16 @@ def _values(spark, sf) -> DataFrame:
     return m.bad_values(_errors(spark, sf), cells, _affected(spark, sf))
 
 
+def _parts(spark, sf) -> DataFrame:
+    def stage(values):
+        return v.staged(spark, sf, "sorted_values", lambda: values, hint=None)
+
+    return m.bad_value_parts(_values(spark, sf), stage, PART_SIZE)
+
+
 def _open(spark, sf) -> DataFrame:
     """Open entries from an earlier run: one per key that has valid rows today, a third of
-    them with another count, and one without a readable date per source."""
+    them with another count, and one without a readable date per source, with values in two parts."""
     counts = _counts(spark, sf)
     dated = counts.select(
         *m.KEY, (F.col("n_valid") + (F.col("n_valid") % 3 == 0).cast("int")).alias("n_rows")
@@ -114,6 +123,8 @@ def _open(spark, sf) -> DataFrame:
     undated = counts.groupBy("sheet_name", "creds").agg(F.count(F.lit(1)).alias("n_rows")).select(
         "sheet_name", "creds", F.lit("INVALID_DATE").alias("error_date"), "n_rows"
     )
+    first, second = F.array(F.lit("a"), F.lit("b")), F.array(F.lit("c"))
+    parts = F.when(F.col("error_date") == "INVALID_DATE", F.array(first, second)).otherwise(F.array(first))
     return dated.unionByName(undated).select(
         *m.KEY,
         F.array(F.lit("VV")).alias("affected_columns"),
@@ -121,7 +132,8 @@ def _open(spark, sf) -> DataFrame:
         F.lit("2024-01-31T06:00:00").alias("reported_at"),
         F.lit("old").alias("path"),
         F.lit("open").alias("status"),
-    )
+        F.posexplode(parts).alias("part", "bad_values"),
+    ).withColumn("part", F.col("part").cast("bigint"))
 
 
 def _sync(spark, sf) -> m.ManifestSync:
@@ -131,7 +143,7 @@ def _sync(spark, sf) -> m.ManifestSync:
 
 
 def _flat(df: DataFrame) -> DataFrame:
-    return df.withColumn("affected_columns", F.array_join("affected_columns", "|"))
+    return df.withColumns({c: F.array_join(c, "|") for c in ("affected_columns", "bad_values") if c in df.columns})
 
 
 # --- Scalar functions -----------------------------------------------------------------
@@ -148,11 +160,13 @@ def parse_mixed_dates_(spark, sf):
 
 @query
 def date_parse_failures(spark, sf):
-    return (
-        _video(spark, sf)
-        .filter(f"{is_date_token('Tanggal')} AND {parse_mixed_dates('Tanggal')} IS NULL")
-        .groupBy(F.expr(strip("Tanggal")).alias("cell"))
-        .agg(F.count("*").alias("n_cells"))
+    return val.unparsable_dates(_video(spark, sf), "Tanggal")
+
+
+@query
+def parse_mixed_days(spark, sf):
+    return _video(spark, sf).select(
+        "row_idx", *[F.expr(parse_mixed_dates(c, as_date=True)).alias(snake_case(c)) for c in ("Tanggal", "Waktu")]
     )
 
 
@@ -305,9 +319,8 @@ def percent_corruption(spark, sf):
 
 @query
 def date_errors(spark, sf):
-    bit = F.col("_bad_dates").bitwiseAND
-    return v.annotated(spark, sf, VIDEO).select(
-        "row_idx", (bit(1) != 0).alias("bad_tanggal"), (bit(2) != 0).alias("bad_waktu")
+    return v.annotated(spark, sf, VIDEO).selectExpr(
+        "row_idx", f"{val.has_bit('_undated', 0)} AS bad_tanggal", f"{val.has_bit('_undated', 1)} AS bad_waktu"
     )
 
 
@@ -366,8 +379,7 @@ def manifest_bad_values(spark, sf):
 
 @query
 def manifest_bad_value_parts(spark, sf):
-    parts = m.bad_value_parts(_values(spark, sf))
-    return parts.withColumn("bad_values", F.array_join("bad_values", "|"))
+    return _flat(_parts(spark, sf))
 
 
 @query
@@ -385,31 +397,31 @@ def manifest_json(spark, sf):
     """Entries to JSON text and back."""
     entries = _entries(spark, sf)
     text = entries.select(F.to_json(F.struct("*")).alias("json"))
-    return _flat(text.select(F.from_json("json", m.ENTRY_SCHEMA).alias("e")).select("e.*"))
+    return _flat(text.select(F.from_json("json", m.MANIFEST_SCHEMA).alias("e")).select("e.*"))
 
 
 @query
 def recovery_confirmed(spark, sf):
-    return m.confirmed_keys(_open(spark, sf), _counts(spark, sf))
+    return m.confirmed_keys(m.heads(_open(spark, sf)), _counts(spark, sf))
 
 
 @query
 def recovery_select(spark, sf):
     rows = m.select_recovered(
-        _valid(spark, sf), _open(spark, sf), _counts(spark, sf), "Tanggal"
+        _valid(spark, sf), m.heads(_open(spark, sf)), _counts(spark, sf), "Tanggal"
     )
     return rows.select("row_idx", "sheet_name", "creds")
 
 
 @query
 def recovery_remainder(spark, sf):
-    rows = m.remainder(_valid(spark, sf), _open(spark, sf), _counts(spark, sf), "Tanggal")
+    rows = m.remainder(_valid(spark, sf), m.heads(_open(spark, sf)), _counts(spark, sf), "Tanggal")
     return rows.select("row_idx", "sheet_name", "creds")
 
 
 @query
 def recovery_counters(spark, sf):
-    return m.recovery_counters(_open(spark, sf), _counts(spark, sf))
+    return m.recovery_counters(m.heads(_open(spark, sf)), _counts(spark, sf))
 
 
 # --- Watermarks ----------------------------------------------------------------------------
@@ -447,6 +459,17 @@ def watermark_max_dates(spark, sf):
     return wm.max_dates(kept, date="Tanggal")
 
 
+@query
+def watermark_marked_day(spark, sf):
+    """The second run's rows, those of the marked day unless the first run had loaded them."""
+    marks = v.from_sql(spark, sf, v.MARKS_SQL)
+    loaded, fresh = v.bronze(spark, sf, VIDEO, (1,)), v.bronze(spark, sf, VIDEO, (2,))
+    since = F.lit(wm.earliest_mark(marks)).try_cast("timestamp_ntz")
+    return wm.filter_marked_day(fresh, marks, loaded.filter(F.col("tanggal") >= since)).select(
+        "row_idx", "creds", "tanggal", "row_hash_raw"
+    )
+
+
 def _stamped(df: DataFrame) -> DataFrame:
     """`snapshot_ts` as UTC without a zone, whatever the session's zone."""
     zoneless = F.col("snapshot_ts").cast("timestamp_ntz")
@@ -480,7 +503,7 @@ def bronze_production(spark, sf):
 
 @query
 def bronze_batch_(spark, sf):
-    exact = m.confirmed_keys(_open(spark, sf), _counts(spark, sf))
+    exact = m.confirmed_keys(m.heads(_open(spark, sf)), _counts(spark, sf))
     flagged = m.flag_recovered(_valid(spark, sf), exact, "Tanggal")
     rows = build_bronze(flagged, VIDEO, v.run_ts(1), "run0")
     return _stamped(bronze_batch(rows, v.from_sql(spark, sf, v.MARKS_SQL)))
@@ -605,16 +628,49 @@ def daily_job_silver_production(spark, sf):
 
 @query
 def daily_job_gold(spark, sf):
-    return spark.read.parquet(f"{v.job_lake(spark, sf)}/gold/fact_daily")
+    return read_gold(spark, v.job_lake(spark, sf))
+
+
+def _of_both(read: Callable[[str], DataFrame]) -> DataFrame:
+    """What `read` makes of either dataset's name, with that name."""
+    return union_sheets([read(spec.name).withColumn("dataset", F.lit(spec.name)) for spec in (VIDEO, PRODUCTION)])
+
+
+def _run_table(spark, sf, table: str, *cols: str) -> DataFrame:
+    """A table written by run: its columns and the keys of its folders."""
+    keys = [F.col(k).cast("string").alias(k) for k in ("date", "run_key", "run")]
+    root = v.job_lake(spark, sf)
+    return _of_both(lambda name: read_table(spark, f"{root}/{table}/{name}").select(*cols, *keys))
 
 
 @query
 def daily_job_manifest(spark, sf):
     """Open entries after the last run; of a quarantine path the part below the lake."""
-    state = f"{v.job_lake(spark, sf)}/state/video"
-    entries = read_state(spark, state, MANIFEST, m.ENTRY_SCHEMA)
+    root = v.job_lake(spark, sf)
+    entries = _of_both(lambda name: read_state(spark, f"{root}/state/{name}", MANIFEST, m.MANIFEST_SCHEMA))
     return _flat(entries).withColumn("path", F.substring_index("path", "/quarantine/", -1))
 
 
+@query
+def daily_job_watermarks(spark, sf):
+    root = v.job_lake(spark, sf)
+    return _of_both(lambda name: read_state(spark, f"{root}/state/{name}", WATERMARKS, wm.STATE_SCHEMA)).drop("ord")
+
+
+@query
+def daily_job_quarantine(spark, sf):
+    return _run_table(spark, sf, "quarantine", "row_idx", "sheet_name", "creds", "error_reason")
+
+
+@query
+def daily_job_values(spark, sf):
+    return _run_table(spark, sf, "manifest_values", *m.KEY, "bad_value")
+
+
+@query
+def daily_job_landed(spark, sf):
+    return _run_table(spark, sf, "landed", "tanggal", "creds", "row_hash_raw")
+
+
 # Functions whose name is also the operator's carry a trailing underscore here only.
 QUERIES = {name.rstrip("_"): fn for name, fn in QUERIES.items()}

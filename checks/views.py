@@ -10,9 +10,12 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 from functools import reduce
+from itertools import product
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -273,9 +276,13 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 def staged(
-    spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]
+    spark: SparkSession,
+    sf_dir: str,
+    name: str,
+    build: Callable[[], DataFrame],
+    hint: str | None = "rebalance",
 ) -> DataFrame:
-    """The table `name` derived from `sf_dir`, built on first use.
+    """The table `name` derived from `sf_dir`, built on first use; without `hint` in the order it has.
 
     The operators then read plain parquet as they would in a lake, not the large
     expressions that make the cells dirty.
@@ -283,7 +290,8 @@ def staged(
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _STAGED:
         path = f"{scratch_root(spark)}/{uuid.uuid4().hex}/{name}"
-        build().hint("rebalance").write.parquet(path)
+        df = build()
+        (df.hint(hint) if hint else df).write.parquet(path)
         _STAGED[key] = path
     return spark.read.parquet(_STAGED[key])
 
@@ -369,7 +377,8 @@ UNION ALL SELECT 'produksi', 'cred_p', CAST(5 AS INT)"""
 
 def landed_run(spark: SparkSession, sf_dir: str, spec: DatasetSpec, run: int) -> DataFrame:
     """The sheets of one run as they land: a header row, then cells by position."""
-    raw = sheet_rows(spark, sf_dir, spec, run)
+    make = raw_video if spec is VIDEO else raw_production
+    raw = make(spark, sf_dir, run)
     names = [c for c in raw.columns if c not in ("row_idx", "creds", "sheet_name")]
     head = F.lit(spec.header_row)
 
@@ -394,12 +403,14 @@ def job_lake(spark: SparkSession, sf_dir: str) -> str:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _LAKES:
         root = f"{scratch_root(spark)}/{uuid.uuid4().hex}/lake"
-        registry = from_sql(spark, sf_dir, JOB_REGISTRY_SQL)
+        registry = staged(spark, sf_dir, "job_registry", lambda: from_sql(spark, sf_dir, JOB_REGISTRY_SQL))
+        specs = (VIDEO, PRODUCTION)
+        register(spark, sf_dir, "events", "orders")
+        with ThreadPoolExecutor(len(specs)) as pool:
+            land = inheritable_thread_target(spark)(lambda of: landed_run(spark, sf_dir, *of))
+            landed = dict(zip(product(specs, (1, 2, 3)), pool.map(land, product(specs, (1, 2, 3)))))
         for n in (1, 2, 3):
-            sheets = {
-                spec.name: Sheets(landed_run(spark, sf_dir, spec, n), registry)
-                for spec in (VIDEO, PRODUCTION)
-            }
+            sheets = {spec.name: Sheets(landed[spec, n], registry) for spec in specs}
             run_daily(spark, root, sheets, run_ts(n), f"run{n}")
         _LAKES[key] = root
     return _LAKES[key]

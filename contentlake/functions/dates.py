@@ -49,8 +49,8 @@ def excel_serial_date(c: str) -> str:
     )
 
 
-def parse_mixed_dates(c: str) -> str:
-    """TIMESTAMP_NTZ of a mixed-format date cell, null when it is not a date.
+def parse_mixed_dates(c: str, as_date: bool = False) -> str:
+    """TIMESTAMP_NTZ of a mixed-format date cell (its day if `as_date`), null when it is not a date.
 
     A usual cell costs one replacement and one cast; the rarer forms are tried only
     when that gave nothing. The forms exclude each other, so their order is free.
@@ -59,10 +59,11 @@ def parse_mixed_dates(c: str) -> str:
     def read(pattern: str, text: str) -> str:
         return f"try_cast(regexp_replace({c}, r'{pattern}', '{text}') AS timestamp_ntz)"
 
-    return (
+    parsed = (
         f"coalesce({read(_LONG_YEAR, _LONG_YEAR_TEXT)}, {read(_YEAR_20XX, '20$3-$2-$1')}, "
         f"{read(_YEAR_19XX, '19$3-$2-$1')}, CAST({excel_serial_date(c)} AS timestamp_ntz))"
     )
+    return f"to_date({parsed})" if as_date else parsed
 
 
 def is_date_token(c: str) -> str:

@@ -84,10 +84,19 @@ def percent_to_fraction(c: str, decimal_comma: bool = False) -> str:
 
 
 def round_half_even(c: str) -> str:
-    """Nearest whole number, ties to even, null to 0."""
-    return f"coalesce(try_cast(bround({c}, 0) AS bigint), 0L)"
+    """Nearest whole number, ties to even, null to 0; one that no bigint holds is null."""
+    return f"CASE WHEN {c} IS NULL THEN 0L ELSE try_cast(bround({c}, 0) AS bigint) END"
 
 
 def plain_number(c: str) -> str:
-    """Decimal(38,9) text without trailing zeros: 12.000000000 -> 12, 1.500000000 -> 1.5."""
-    return rf"regexp_replace(CAST(try_cast({c} AS {MONEY}) AS string), r'\.?0+$', '')"
+    """Decimal(38,9) text without trailing zeros: 12.000000000 -> 12, 1.500000000 -> 1.5.
+
+    Put together from whole numbers: the text of a decimal depends on the session (zero may read 0E-9).
+    """
+    d = f"try_cast({c} AS {MONEY})"
+    billionths = f"CAST((abs({d}) % 1BD) * 1000000000BD AS bigint)"
+    places = f"TRIM(TRAILING '0' FROM lpad(CAST({billionths} AS string), 9, '0'))"
+    return (
+        f"concat(if({d} < 0, '-', ''), CAST(floor(abs({d})) AS string), "
+        f"if({billionths} = 0, '', concat('.', {places})))"
+    )

@@ -1,7 +1,7 @@
 """Command line of the daily job.
 
     spark-submit contentlake/jobs.py --lake <dir> --registry <dir> \
-        --video <landed dir> --production <landed dir> --run-id <id> [--run-ts <ISO time>]
+        --video <landed dir> --production <landed dir> --run-id <id> [--run-ts <ISO time>] [--null-safe] [--late]
 """
 
 from __future__ import annotations
@@ -24,6 +24,7 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--run-ts", default=None)
     p.add_argument("--format", default="json", choices=("json", "parquet"))
     p.add_argument("--null-safe", action="store_true")
+    p.add_argument("--late", action="store_true")
     a = p.parse_args(argv)
 
     spark = SparkSession.builder.appName("contentlake-daily").getOrCreate()
@@ -33,7 +34,7 @@ def main(argv: list[str] | None = None) -> None:
         PRODUCTION.name: Sheets(read_landing(spark, a.production, a.format), registry),
     }
     ts = datetime.fromisoformat(a.run_ts) if a.run_ts else datetime.now(timezone.utc)
-    for name, report in run_daily(spark, a.lake, sheets, ts, a.run_id, a.null_safe).items():
+    for name, report in run_daily(spark, a.lake, sheets, ts, a.run_id, a.null_safe, a.late).items():
         print(name)
         report.show(truncate=False)
 

@@ -50,6 +50,12 @@ def watermark_map(state: DataFrame, registry: DataFrame) -> DataFrame:
     )
 
 
+def _with_cutoff(df: DataFrame, marks: DataFrame, group: str) -> DataFrame:
+    """`df` with the mark of its source as a time, `_cutoff`."""
+    m = marks.select(F.col("creds").alias("_source"), _text(F.col("mark")).try_cast("timestamp_ntz").alias("_cutoff"))
+    return df.join(m, F.col(group) == F.col("_source"), "left").drop("_source")
+
+
 def filter_by_watermark(
     df: DataFrame,
     marks: DataFrame,
@@ -59,20 +65,52 @@ def filter_by_watermark(
     inclusive: bool = False,
 ) -> DataFrame:
     """Rows later than the mark of their source; a source without a mark is loaded in
-    full, and so are rows without a source. `bypass` rows pass whatever their date.
+    full, and so are rows without a source, and all rows of a table without that column.
+    `bypass` rows pass whatever their date.
 
-    `inclusive` also keeps the marked day itself, for use with a later dedupe.
+    `inclusive` also keeps the start of the marked day itself, for use with a later dedupe.
     """
-    m = marks.select(F.col("creds").alias("_source"), F.col("mark").alias("_mark"))
-    cutoff = _text(F.col("_mark")).try_cast("timestamp_ntz")
-    ts = F.col(date).cast("timestamp_ntz")
+    if group not in df.columns:
+        return df
+    cutoff, ts = F.col("_cutoff"), F.col(date).cast("timestamp_ntz")
     later = (ts >= cutoff) if inclusive else (ts > cutoff)
     keep = cutoff.isNull() | F.coalesce(later, F.lit(False))
     if bypass is not None:
         keep = keep | bypass
-    return df.join(m, F.col(group) == F.col("_source"), "left").filter(keep).drop(
-        "_source", "_mark"
-    )
+    return _with_cutoff(df, marks, group).filter(keep).drop("_cutoff")
+
+
+def filter_marked_day(
+    df: DataFrame,
+    marks: DataFrame,
+    loaded: DataFrame,
+    group: str = "creds",
+    date: str = "tanggal",
+    row_hash: str = "row_hash_raw",
+    bypass: Column | None = None,
+) -> DataFrame:
+    """As `filter_by_watermark`, but a row of the marked day passes if, and only if, no row of `loaded`
+    has its hash: what arrives late on that day is not lost, and what was loaded from it
+    is not loaded again.
+
+    `loaded` needs the hashes of the marked days only. Rows past the marked day are not compared
+    and not shuffled for it.
+    """
+    if group not in df.columns:
+        return df
+    cutoff, ts = F.col("_cutoff"), F.col(date).cast("timestamp_ntz")
+    marked = _with_cutoff(df, marks, group)
+    past = cutoff.isNull() | F.coalesce(ts >= cutoff + F.expr("INTERVAL 1 DAY"), F.lit(False))
+    if bypass is not None:
+        past = past | bypass
+    on_day = marked.filter(~past & (ts >= cutoff))
+    fresh = on_day.join(loaded.select(row_hash), row_hash, "left_anti")
+    return marked.filter(past).unionByName(fresh).drop("_cutoff")
+
+
+def earliest_mark(marks: DataFrame) -> str | None:
+    """The least mark, from which `loaded` of `filter_marked_day` has to be read."""
+    return marks.agg(F.min(_text(F.col("mark"))).alias("mark")).first()["mark"]
 
 
 def max_dates(df: DataFrame, group: str = "creds", date: str = "tanggal") -> DataFrame:

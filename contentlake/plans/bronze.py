@@ -15,7 +15,7 @@ from contentlake.functions.text import canon, empty_to_null, has_id, or_empty, q
 from contentlake.operators.latest import first_by_hash
 from contentlake.operators.naming import drop_columns, snake_case_columns
 from contentlake.operators.validate import present
-from contentlake.operators.watermark import filter_by_watermark
+from contentlake.operators.watermark import filter_by_watermark, filter_marked_day
 from contentlake.specs import ORDINAL, TAGS, DatasetSpec
 
 
@@ -81,15 +81,25 @@ def build_bronze(
     )
 
 
-def loadable(bronze: DataFrame, marks: DataFrame) -> DataFrame:
-    """Rows past the mark of their source, and recovered rows whatever their date."""
+def loadable(bronze: DataFrame, marks: DataFrame, loaded: DataFrame | None = None) -> DataFrame:
+    """Rows past the mark of their source, and recovered rows whatever their date.
+
+    With `loaded`, the bronze rows of the marked days, also rows of those days that are not among them.
+    """
+    if loaded is not None:
+        return filter_marked_day(bronze, marks, loaded, bypass=F.col("is_recovered"))
     return filter_by_watermark(bronze, marks, bypass=F.col("is_recovered"))
 
 
+def first_rows(passed: DataFrame) -> DataFrame:
+    """Of loadable rows with equal hash the first, regular before recovered."""
+    order = [F.asc("is_recovered"), *[F.asc(o) for o in ORDINAL if o in passed.columns]]
+    return first_by_hash(passed, order).drop("is_recovered", *ORDINAL)
+
+
 def bronze_batch(bronze: DataFrame, marks: DataFrame) -> DataFrame:
-    """Rows to load: of loadable rows with equal hash the first, regular before recovered."""
-    order = [F.asc("is_recovered"), *[F.asc(o) for o in ORDINAL if o in bronze.columns]]
-    return first_by_hash(loadable(bronze, marks), order).drop("is_recovered", *ORDINAL)
+    """Rows to load."""
+    return first_rows(loadable(bronze, marks))
 
 
 def bronze_schema(spec: DatasetSpec) -> str:

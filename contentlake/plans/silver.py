@@ -119,16 +119,17 @@ def silver_production(bronze: DataFrame) -> DataFrame:
     return base.withColumn("row_hash_clean", F.expr(row_hash_clean_production()))
 
 
-def changed_since(bronze: DataFrame, since, unmatched_key: str) -> DataFrame:
+def changed_since(bronze: DataFrame, unmatched: DataFrame, since) -> DataFrame:
     """Bronze rows a merge can still act on: snapshots from day `since` on, and the rows
     whose null key matches nothing and which every merge inserts again.
 
-    The result of the merge is that of reading all of bronze: for any other key the
-    newest snapshot is the one already merged, with the same hash.
+    `unmatched` holds the latter in a table of their own (all rows of bronze with a null key), so bronze
+    is read from its partitions of `since` and later alone. The result of the merge is that of
+    reading all of bronze: for any other key the newest snapshot is the one already merged,
+    with the same hash.
     """
     if since is None:
         return bronze
     day = F.lit(since)
     recent = bronze.filter(F.col("snapshot_date") >= day)
-    unmatched = bronze.filter((F.col("snapshot_date") < day) & F.col(unmatched_key).isNull())
-    return recent.unionByName(unmatched)
+    return recent.unionByName(unmatched.filter(F.col("snapshot_date") < day))

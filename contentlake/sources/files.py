@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import SparkSession
 
 
@@ -20,6 +22,37 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
 
 
+def create(spark: SparkSession, path: str, text: str) -> None:
+    """A new small file, there as a whole or not at all; it is an error if there is one."""
+    fs, p = _fs(spark, path)
+    if fs.exists(p):
+        raise FileExistsError(path)
+    folder, _, name = path.rpartition("/")
+    fresh = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/.{name}.tmp")
+    out = fs.create(fresh, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    if not fs.rename(fresh, p):
+        raise FileExistsError(path)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file as text."""
+    fs, p = _fs(spark, path)
+    stream = fs.open(p)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def folder_name(run_id: str) -> str:
+    """A run id as a file name; different ids have different names."""
+    return re.sub(r"[^A-Za-z0-9.-]", lambda m: f"_{ord(m[0]):x}_", run_id)
+
+
 def remove(spark: SparkSession, path: str) -> bool:
     """Delete a file or folder with all it holds; False if there is none."""
     fs, p = _fs(spark, path)

@@ -7,15 +7,15 @@ with a third of all rows neither ends in one task nor in thousands of tiny files
 
 from __future__ import annotations
 
-import re
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from contentlake.operators.merge import INSERT, UPDATE, MergeSpec, merge_plan
-from contentlake.sources.files import has_files
+from contentlake.operators.merge import INSERT, KEEP, UNCHANGED, UPDATE, MergeSpec, merge_plan
+from contentlake.sources import versions
+from contentlake.sources.files import folder_name, has_files
 
-_DAY = "day_key"  # a name with a leading underscore would count as hidden
+_PART = "part_key"  # a name with a leading underscore would count as hidden
+DAY, MONTH = "day", "month"
 
 
 def write_partitions(df: DataFrame, path: str, by: tuple[str, ...]) -> None:
@@ -30,16 +30,12 @@ def write_partitions(df: DataFrame, path: str, by: tuple[str, ...]) -> None:
 
 def run_folder(date: str, run_key: str, run_id: str) -> str:
     """`date=YYYYMMDD/run_key=YYYYMMDDHH/run=...`: two runs within an hour keep apart."""
-    return f"date={date}/run_key={run_key}/run={_folder_name(run_id)}"
-
-
-def _folder_name(run_id: str) -> str:
-    return re.sub(r"[^A-Za-z0-9.-]", lambda m: f"_{ord(m[0]):x}_", run_id)
+    return f"date={date}/run_key={run_key}/run={folder_name(run_id)}"
 
 
 def write_run(df: DataFrame, path: str, date: str, run_key: str, run_id: str) -> None:
     """Landing and quarantine layout of `run_folder`; the same run replaces its own rows."""
-    keys = {"date": date, "run_key": run_key, "run": _folder_name(run_id)}
+    keys = {"date": date, "run_key": run_key, "run": folder_name(run_id)}
     keyed = df.withColumns({k: F.lit(v) for k, v in keys.items()})
     write_partitions(keyed.hint("rebalance"), path, tuple(keys))
 
@@ -55,19 +51,35 @@ def read_table(spark: SparkSession, path: str, schema: str | None = None) -> Dat
     return reader.parquet(path)
 
 
-def rebuild_table(df: DataFrame, path: str, by: str | None = None) -> None:
-    """Full rebuild of a table from a query that does not read it."""
-    if by:
-        df.hint("rebalance", by).write.mode("overwrite").partitionBy(by).parquet(path)
-    else:
-        df.hint("rebalance").write.mode("overwrite").parquet(path)
+def publish_table(spark: SparkSession, df: DataFrame, path: str, by: str | None = None) -> int:
+    """Replace a table as a whole: a new version beside the old one, which readers see until it is complete."""
+    v = versions.following(spark, path)
+    hinted = df.hint("rebalance", by) if by else df.hint("rebalance")
+    writer = hinted.write.mode("errorifexists")
+    (writer.partitionBy(by) if by else writer).parquet(f"{path}/v={v}")
+    return v
+
+
+def read_published(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
+    """The newest complete version of a published table; empty (with a schema) when there is none."""
+    v = versions.latest(spark, path)
+    if v is None:
+        if schema is None:
+            raise FileNotFoundError(f"no complete version in {path}")
+        return spark.createDataFrame([], schema)
+    return read_table(spark, f"{path}/v={v}", schema)
 
 
 def read_silver(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """Silver table without its partition column; empty when there is none yet."""
     if not has_files(spark, path):
         return spark.createDataFrame([], schema)
-    return spark.read.schema(f"{schema}, {_DAY} date").parquet(path).drop(_DAY)
+    return spark.read.schema(f"{schema}, {_PART} date").parquet(path).drop(_PART)
+
+
+def _part(grain: str) -> Column:
+    day = F.to_date("tanggal")
+    return day if grain == DAY else F.trunc(day, "month")
 
 
 def merge_upsert(
@@ -78,41 +90,42 @@ def merge_upsert(
     staging: str,
     schema: str,
     null_safe: bool = False,
-) -> DataFrame:
+    grain: str = DAY,
+) -> dict[str, int]:
     """Merge `source` into the silver table at `path`; returns rows per merge branch.
 
-    1. `source` is written once, partitioned by day: what follows reads it several times.
-    2. Only target days that occur in the source are read (there are at most as many
+    The table is partitioned by `grain`: by day where a day holds much, by month where a table of few
+    rows a day would fall into thousands of small files.
+
+    1. `source` is written once: what follows reads it several times.
+    2. Only target partitions that occur in the source are read (there are at most as many
        as days in the year window, so that list may be broadcast).
-    3. The merged days are staged in full, then swapped in by partition overwrite. The
-       table is never overwritten while it is read, and a failed swap can be repeated.
+    3. The merged partitions are staged in full, their rows counted per branch in the same job; those
+       in which something changed are swapped in by partition overwrite. The table is
+       never overwritten while it is read, and a failed swap can be repeated.
     """
     source_path, merged_path = f"{staging}/source", f"{staging}/merged"
-    by_day = source.withColumn(_DAY, F.to_date("tanggal"))
-    by_day.hint("rebalance", _DAY).write.mode("overwrite").partitionBy(_DAY).parquet(source_path)
-    with_day = f"{schema}, {_DAY} date"
-    staged = spark.read.schema(with_day).parquet(source_path)
+    source.withColumn(_PART, _part(grain)).write.mode("overwrite").parquet(source_path)
+    with_part = f"{schema}, {_PART} date"
+    staged = spark.read.schema(with_part).parquet(source_path)
 
     if has_files(spark, path):
-        days = F.broadcast(staged.select(_DAY).distinct())
-        target = spark.read.schema(with_day).parquet(path).join(days, _DAY, "left_semi")
+        parts = F.broadcast(staged.select(_PART).distinct())
+        target = spark.read.schema(with_part).parquet(path).join(parts, _PART, "left_semi")
     else:
-        target = spark.createDataFrame([], with_day)
-
-    plan = merge_plan(target.drop(_DAY), staged.drop(_DAY), spec, null_safe)
-    merged = plan.withColumn(_DAY, F.to_date("tanggal"))
-    (
-        merged.hint("rebalance", _DAY)
-        .write.mode("overwrite")
-        .partitionBy(_DAY)
-        .parquet(merged_path)
-    )
-    result = spark.read.schema(f"{schema}, action string, {_DAY} date").parquet(merged_path)
-
-    # Days in which nothing changed are left as they are.
-    changed = F.broadcast(
-        result.filter(F.col("action").isin(INSERT, UPDATE)).select(_DAY).distinct()
-    )
-    swap = result.join(changed, _DAY, "left_semi").drop("action")
-    write_partitions(swap.hint("rebalance", _DAY), path, (_DAY,))
-    return result.groupBy("action").agg(F.count(F.lit(1)).alias("n_rows"))
+        target = spark.createDataFrame([], with_part)
+
+    counted = Observation()
+    branches = (INSERT, UPDATE, UNCHANGED, KEEP)
+    plan = merge_plan(target.drop(_PART), staged.drop(_PART), spec, null_safe).withColumn(_PART, _part(grain))
+    plan = plan.observe(counted, *[F.count_if(F.col("action") == b).alias(b) for b in branches])
+    plan.write.mode("overwrite").parquet(merged_path)
+    n_rows = {b: n for b, n in counted.get.items() if n}
+
+    if n_rows.get(INSERT) or n_rows.get(UPDATE):
+        result = spark.read.schema(f"{schema}, action string, {_PART} date").parquet(merged_path)
+        # Partitions in which nothing changed are left as they are.
+        changed = F.broadcast(result.filter(F.col("action").isin(INSERT, UPDATE)).select(_PART).distinct())
+        swap = result.join(changed, _PART, "left_semi").drop("action")
+        write_partitions(swap.hint("rebalance", _PART), path, (_PART,))
+    return n_rows

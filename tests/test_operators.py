@@ -130,17 +130,23 @@ def test_manifest_cases(spark):
     assert bag(sync.fixes, "error_date", "path", "status") == [("fixed", "p0", "fixed")]
     counters = m.recovery_counters(opened, counts).first()
     assert tuple(counters) == (5, 2, 1, 3)
-    assert m.same_content(opened, opened) and not m.same_content(opened, entries)
 
 
-def test_bad_value_parts_hold_every_value(spark):
+def test_bad_value_parts_are_the_sorted_list(spark, tmp_path):
     values = spark.range(1000).selectExpr(
         "'s' AS sheet_name", "'c' AS creds", "'INVALID_DATE' AS error_date", "CAST(id AS string) AS bad_value"
     )
-    parts = m.bad_value_parts(values, part_size=100)
-    rows = parts.collect()
-    assert len(rows) == 10 and max(len(r["bad_values"]) for r in rows) < 200
-    assert sorted(v for r in rows for v in r["bad_values"]) == sorted(str(i) for i in range(1000))
+    few = values.filter("bad_value < '12'").withColumn("creds", F.lit("other"))
+
+    def stage(df):
+        df.write.parquet(str(tmp_path / "sorted"))
+        return spark.read.parquet(str(tmp_path / "sorted"))
+
+    rows = m.bad_value_parts(values.unionByName(few).repartition(9), stage, part_size=100).collect()
+    want = sorted(str(i) for i in range(1000))
+    of = {r["part"]: r["bad_values"] for r in rows if r["creds"] == "c"}
+    assert of == {k: want[100 * k : 100 * k + 100] for k in range(10)}
+    assert [r["bad_values"] for r in rows if r["creds"] == "other"] == [[v for v in want if v < "12"]]
 
 
 def test_join_is_exact_with_hot_and_null_keys(spark):
