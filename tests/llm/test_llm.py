@@ -307,6 +307,45 @@ def test_decontamination(spark, docs, empty):
     assert kept.columns == docs.columns and {0, 1, 2, 4, 10} <= {r["doc_id"] for r in kept.collect()}
 
 
+def test_decontamination_of_near_copies(spark):
+    """Items with words replaced, put in and left out, against a search of every window."""
+    rng = np.random.default_rng(12)
+    kinds = [f"w{i}" for i in range(400)]
+    items = [(i, list(rng.choice(kinds, int(rng.integers(20, 90))))) for i in range(40)]
+    opening = list(rng.choice(kinds, 12))  # all of ten items begin alike
+    items = [(i, opening + w[12:] if i < 10 else w) for i, w in items] + [(None, list(rng.choice(kinds, 40))), (3, list(rng.choice(kinds, 40)))]
+    docs = []
+    for k in range(120):
+        w = list(rng.choice(kinds, int(rng.integers(30, 300))))
+        for _ in range(int(rng.integers(0, 3))):
+            near = list(items[rng.integers(0, len(items))][1])
+            for _ in range(int(rng.integers(0, 4))):
+                at = int(rng.integers(0, len(near)))
+                near[at : at + 1] = ([f"new{at}"], [], [near[at], "more"])[rng.integers(0, 3)]
+            at = int(rng.integers(0, len(w)))
+            w[at:at] = near
+        docs.append((k, " ".join(w)))
+
+    def counted(w):
+        return Counter(tuple(w[i : i + 5]) for i in range(len(w) - 4))
+
+    want = set()
+    for k, text in docs:
+        w = text.split()
+        for i, item in items:
+            a = counted(item)
+            for at in range(max(1, len(w) - len(item) + 1)):
+                b = counted(w[at : at + len(item)])
+                both = sum((a & b).values())
+                if both >= 0.8 * (sum(a.values()) + sum(b.values()) - both):
+                    want.add((k, i))
+                    break
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in items], "item_id long, text string")
+    found = decontaminate.find_leaks(spark.createDataFrame(docs, "doc_id long, text string"), bench)
+    got = {(r["doc_id"], r["item_id"]) for r in found.collect()}
+    assert len(want) > 50 and got <= want and len(got) >= 0.98 * len(want), (len(got), len(want))
+
+
 def test_line_dedup(spark, docs):
     import duckdb
 
