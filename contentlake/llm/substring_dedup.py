@@ -5,10 +5,15 @@ its `gram`-word sequences; equal windows have equal minimisers at equal places.
 windows that share one minimiser occurrence travel as one packed string to the bucket of
 that minimiser, about three words for each word of the text instead of `window`.
 
+Common word pairs would draw a share of the whole corpus into one bucket. So windows are counted
+by minimiser first, and one with more than `bucket_limit` windows and `HOT_SHARE` of all is only
+taken where a window holds no other: its windows spread over their second choices. The list of
+such minimisers has at most 1 / `HOT_SHARE` entries, and equal windows still choose alike.
+
 A bucket arrives sorted by string and position. Equal strings are adjacent: all but the
 first are repeats as a whole. Only if a bucket holds several different strings are their
-windows compared one by one, byte for byte. A bucket with more than `bucket_limit`
-windows is not held in memory: its windows are dealt again, each by its own hash, and sorted.
+windows compared one by one, byte for byte. A bucket that still has more than
+`bucket_limit` windows is not held in memory: they are dealt again, each by its own hash, and sorted.
 Equal strings within a task are combined before the shuffle, so that a passage in a third
 of all documents arrives once per task.
 
@@ -36,9 +41,11 @@ from contentlake.llm.common import staged, text_bytes
 WINDOW = 20
 GRAM = 2
 BUCKET_LIMIT = 200_000
+HOT_SHARE = 2.0**-20
 _CHUNK = 1 << 20  # words looked at together
 _PLACE_BITS = 24
 _BUCKET_BITS = 32  # of a minimiser; two that share them only share a bucket
+_LAST = np.uint64(1 << 63)  # sorts a word sequence behind all others
 _COUNT_BITS = 20  # a place is a start and, in its low bits, the number of windows
 _PACKED = "mini long, id {id}, row long, place long, text binary"
 _NAMES = ["mini", "id", "row", "place", "text"]
@@ -55,10 +62,11 @@ def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(out[: len(out) - rest], out[rest:]) if rest else out
 
 
-def super_kmers(words: list[bytes], breaks: np.ndarray, window: int, gram: int):
+def super_kmers(words: list[bytes], breaks: np.ndarray, window: int, gram: int, hot: np.ndarray | None = None):
     """(minimiser, start, windows) arrays over concatenated documents.
 
     breaks: the end of each document among `words`; no window crosses one.
+    hot: sorted minimisers that are chosen last.
     """
     n = len(words)
     if n < window:
@@ -74,7 +82,11 @@ def super_kmers(words: list[bytes], breaks: np.ndarray, window: int, gram: int):
     # A word said twice is the last choice: in runs of one word every window would have another minimiser.
     for j in range(1, gram):
         again = ids[j : j + len(mixed)] == ids[j - 1 : j - 1 + len(mixed)]
-        mixed |= again.astype(np.uint64) << np.uint64(63)
+        mixed[again] |= _LAST
+    if hot is not None and len(hot):
+        mini = (mixed >> np.uint64(64 - _BUCKET_BITS)).astype(np.int64)
+        found = np.minimum(np.searchsorted(hot, mini), len(hot) - 1)
+        mixed[hot[found] == mini] |= _LAST
     place = np.arange(len(mixed), dtype=np.uint64)
     key = (mixed >> np.uint64(_PLACE_BITS) << np.uint64(_PLACE_BITS)) | place
     least = _sliding_min(key, window - gram + 1)  # one per window, leftmost among equals
@@ -123,7 +135,32 @@ def _documents(texts: list[bytes], skip: set[int], window: int) -> Iterator[tupl
         yield words, parts
 
 
-def _pack(window: int, gram: int):
+def _count(window: int, gram: int):
+    """Windows per minimiser, summed by chunk."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            order = (batch.column(0).to_pylist(), batch.column(1).to_pylist())
+            texts = batch.column(2).to_pylist()
+            for words, parts in _documents(texts, set(_copies(texts, order)), window):
+                mini, _, windows = super_kmers(words, np.cumsum([n for _, _, n in parts]), window, gram)
+                each, of = np.unique(mini, return_inverse=True)
+                n = np.bincount(of, windows, len(each)).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(each), pa.array(n)], ["mini", "n"])
+
+    return run
+
+
+def hot_minimisers(rows: DataFrame, window: int, gram: int, limit: int, share: float = HOT_SHARE) -> np.ndarray:
+    """Minimisers of over `limit` windows and over `share` of all windows, sorted; 1 / share at most."""
+    counted = rows.mapInArrow(_count(window, gram), "mini long, n long").groupBy("mini").agg(F.sum("n").alias("n"))
+    counted = staged(counted, "minimisers")
+    total = counted.agg(F.sum("n")).first()[0] or 0
+    large = counted.where((F.col("n") > limit) & (F.col("n") > total * share)).select("mini")
+    return np.sort(np.array([r[0] for r in large.collect()], np.int64))
+
+
+def _pack(window: int, gram: int, hot: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, rows = batch.column(0), batch.column(1)
@@ -146,7 +183,7 @@ def _pack(window: int, gram: int):
             for words, parts in _documents(texts, set(copies), window):
                 of, at, size = (np.array(x, np.int64) for x in zip(*parts))
                 ends = np.cumsum(size)
-                mini, start, windows = super_kmers(words, ends, window, gram)
+                mini, start, windows = super_kmers(words, ends, window, gram, hot)
                 if not len(mini):
                     continue
                 part = np.searchsorted(ends, start, "right")
@@ -195,11 +232,12 @@ def _combine(text: list, row_of: np.ndarray, start: np.ndarray, order: tuple[lis
         # Equal positions are equal rows of one id: both stay, neither is earlier.
 
 
-def _match(window: int, bucket_limit: int, id_type: pa.DataType):
+def _match(window: int, bucket_limit: int):
     """Packed strings sorted by (mini, text, id, row, place) to repeats, or to single windows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[tuple] = []
+        id_type = pa.null()
 
         def flush() -> pa.RecordBatch:
             cols = list(zip(*out)) if out else [[]] * 5
@@ -240,6 +278,7 @@ def _match(window: int, bucket_limit: int, id_type: pa.DataType):
             held = 0
 
         for batch in batches:
+            id_type = batch.column(1).type
             key = batch.column(0).to_numpy()
             cols = [c.to_pylist() for c in batch.columns[1:]]
             for k, doc, row, place, text in zip(key.tolist(), *cols):
@@ -270,7 +309,8 @@ def _match(window: int, bucket_limit: int, id_type: pa.DataType):
                     yield flush()
             yield flush()
         close()
-        yield flush()
+        if out:
+            yield flush()
 
     return run
 
@@ -290,12 +330,12 @@ def _repeats_of_single(rows: DataFrame) -> DataFrame:
 def repeated_spans(rows: DataFrame, window: int, gram: int, bucket_limit: int) -> DataFrame:
     """(id, row, start, stop): word spans of `rows` (id, row, data) that stand earlier too."""
     kind = rows.schema["id"].dataType.simpleString()
-    packed = rows.mapInArrow(_pack(window, gram), _PACKED.format(id=kind))
+    hot = hot_minimisers(rows, window, gram, bucket_limit)
+    packed = rows.mapInArrow(_pack(window, gram, hot), _PACKED.format(id=kind))
     # Strings without text are settled; they go anywhere, not to the bucket they came from.
     deal = F.when(F.col("text").isNull(), F.xxhash64("id", "place")).otherwise(F.col("mini"))
     dealt = packed.repartition(deal).sortWithinPartitions("mini", "text", "id", "row", "place")
-    arrow_id = pa.int64() if kind == "bigint" else pa.string() if kind == "string" else pa.int32()
-    found = staged(dealt.mapInArrow(_match(window, bucket_limit, arrow_id), _FOUND.format(id=kind)), "repeats")
+    found = staged(dealt.mapInArrow(_match(window, bucket_limit), _FOUND.format(id=kind)), "repeats")
     spans = found.where("text is null").select("id", "row", "start", "stop")
     single = found.where("text is not null")
     return spans if single.isEmpty() else spans.union(_repeats_of_single(single))

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import hashlib
+import math
+import re
 import zlib
 from collections import Counter
 
@@ -142,6 +144,44 @@ def test_substring_dedup(docs, limit):
     assert got == Counter((r[0], *want[r[0], r[1] or ""]) for r in odd_rows())
 
 
+@pytest.mark.parametrize("kind", ["date", "decimal(10,0)", "string", "timestamp"])
+def test_substring_dedup_of_other_ids(spark, kind):
+    part = sentence(5, 30)
+    rows = [(i, f"{sentence(10 + i, 25)} {part}") for i in range(3)] + [(None, part)]
+    df = spark.createDataFrame(rows, "n int, text string")
+    key = F.col("n").cast(kind) if kind not in ("date", "timestamp") else F.date_add(F.lit("2024-01-01"), F.col("n")).cast(kind)
+    got = substring_dedup.remove_repeats(df.select(key.alias("doc_id"), "text"), bucket_limit=10).orderBy("doc_id").collect()
+    # The null id is the first, the others hold a repeat of its 30 words.
+    assert [(r["n_words"], r["n_removed"]) for r in got] == [(30, 0), (55, 30), (55, 30), (55, 30)]
+
+
+def test_hot_minimisers_are_chosen_last(spark):
+    rng = np.random.default_rng(3)
+    base = [[f"u{x}" for x in rng.integers(0, 10**6, 60)] for _ in range(300)]
+    ends = np.arange(60, 60 * 301, 60)
+
+    def texts(pair: int) -> list[list[bytes]]:
+        """Every text says the words of the pair next to each other, five times."""
+        out = [list(own) for own in base]
+        for own in out:
+            own[10::12], own[11::12] = [f"of{pair}"] * 5, [f"the{pair}"] * 5
+        return [[w.encode() for w in own] for own in out]
+
+    def largest(rows, hot=None) -> tuple[int, int]:
+        mini, start, windows = substring_dedup.super_kmers([w for own in rows for w in own], ends, 20, 2, hot)
+        n = np.bincount(np.unique(mini, return_inverse=True)[1], windows)
+        return int(n.max()), int(n.sum())
+
+    rows = max(map(texts, range(16)), key=largest)  # a pair of small hash
+    before = largest(rows)
+    df = spark.createDataFrame([(i, 0, b" ".join(own)) for i, own in enumerate(rows)], "id long, row long, data binary")
+    hot = substring_dedup.hot_minimisers(df, 20, 2, before[0] // 2)
+    assert len(hot) == 1
+    assert substring_dedup.hot_minimisers(df, 20, 2, before[0] // 2, share=0.999).size == 0
+    after = largest(rows, hot)
+    assert after[1] == before[1] == 300 * 41 and after[0] < before[0] / 10
+
+
 def test_quality(docs):
     piece = public_tokenizers.path("piece_bpe_32k.model")
     got = quality_rules.judge(docs, piece).collect()
@@ -289,6 +329,34 @@ def test_token_counts(docs):
             assert sums[i][2] == (t or "").count("\n") + 1
             if rule != "majority":
                 assert sums[i][0] == pytest.approx(len(tokens.ends(t or "")))
+    # Token by token and byte by byte, over sections that overlap, are empty, lie outside or end within a letter's bytes.
+    rng = np.random.default_rng(9)
+    texts = [t for _, t, *_ in odd_rows() if t and len(t) < 2000] + ["naïve 漢字漢字 Ärger🙂🙂 x" * 3]
+    spans = [sorted(rng.integers(0, len(t) + 3, 2).tolist()) for t in texts for _ in range(6)]
+    rows = [(i, t, [("s", a, b) for a, b in spans[6 * i : 6 * i + 6]]) for i, t in enumerate(texts)]
+    given = docs.sparkSession.createDataFrame(rows, "doc_id long, text string, parts array<struct<name:string,start:long,end:long>>")
+    for rule in token_counts.RULES:
+        got = token_counts.section_tokens(given, *args, sections_col="parts", rule=rule).collect()
+        assert len(got) == 6 * len(texts)
+        for r in got:
+            t = texts[r["doc_id"]]
+            a, b = (min(x, len(t)) for x in rows[r["doc_id"]][2][r["section"]][1:])
+            a, b = len(t[:a].encode()), len(t[:b].encode())
+            inside, crossing, want, at = 0, 0, 0.0, 0
+            for token in tokens.encoding.encode(t):
+                own = range(at, at + len(tokens.encoding.decode_single_token_bytes(token)))
+                at = own.stop
+                held = sum(a <= x < b for x in own)
+                inside += held == len(own)
+                crossing += 0 < held < len(own)
+                if rule == "start":
+                    want += a <= own[0] < b
+                elif rule == "share":
+                    want += held / len(own)
+                else:
+                    want += 2 * held > len(own) or (2 * held == len(own) and a <= own[0] < b)
+            assert (r["n_inside"], r["n_crossing"], r["doc_tokens"]) == (inside, crossing, len(tokens.encoding.encode(t)))
+            assert r["tokens"] == pytest.approx(want), (rule, t, a, b)
     ends = np.array([3, 6, 8])
     a, b = np.array([0, 2, 4, 6]), np.array([2, 7, 4, 8])
     assert token_counts.attribute(ends, a, b, "start")[2].tolist() == [1, 2, 0, 1]
@@ -373,6 +441,73 @@ def test_language(spark, empty):
     assert {r["lang"] for r in language_id.identify(pages, empty).collect()} == {None}
 
 
+def test_language_by_brute_force(spark):
+    """Every number of the fusion anew, in plain Python over all pages."""
+    labelled = [("en", "the house and the garden"), ("en", "a thing of beauty"), ("de", "das Haus und der Garten"),
+                ("fr", "la maison et le jardin"), (None, "unlabelled"), ("fr", None)]
+    bodies = ["the house of beauty", "das Haus der Garten", "le jardin et la maison", "", "the Garten", "xyz qqq"]
+    urls = ["http://a.example.de/x", "https://u@b.example.de:80/", "http://c.org/", None, "nonsense", "http://example.fr"]
+    pages = [
+        (i, urls[(i * 5 + i // 7) % 6], None if i == 11 else f"<html{(' lang=de', ' LANG=\'fr\'', '')[i % 3]}><p>{bodies[i % 6]}</p></html>")
+        for i in range(24)
+    ] + [(3, urls[0], "<p>the house</p>")]  # a repeated id
+    got = language_id.identify(
+        spark.createDataFrame(pages, "page_id long, url string, html string"),
+        spark.createDataFrame(labelled, "lang string, text string"),
+    ).collect()
+
+    langs = ["de", "en", "fr"]
+    grams = {x: Counter() for x in langs}
+    for lang, text in labelled:
+        if lang and text:
+            grams[lang].update(language_id._trigrams(text.encode()).tolist())
+    seen = []
+    for i, url, html in pages:
+        found = re.match(r"[a-z]+://(?:[^/@]*@)?([^/:]*)", url or "")
+        host = found[1] if found else ""
+        lang = re.search(r"lang='?([a-z]+)", (html or "").lower())
+        text = re.sub(r"<[^>]*>", " ", html or "")
+        own = language_id._trigrams(text.encode()).tolist()
+        ll = []
+        for x in langs:
+            size = sum(grams[x].values()) + 0.5 * language_id.BUCKETS
+            ll.append(sum(math.log((grams[x][g] + 0.5) / size) for g in own) * min(1, 8 / max(1, len(own))))
+        top = [math.exp(x - max(ll)) for x in ll]
+        domain = ".".join(host.split(".")[-2:]) if "." in host else ""
+        seen.append((i, host, domain, host.split(".")[-1], lang[1] if lang else "", ll, [x / sum(top) for x in top]))
+    want = Counter()
+    for page in seen:
+        def rest(at: int, x: int) -> float:
+            return sum(o[6][x] for o in seen if o[at] == page[at] and o is not page)
+
+        def size(at: int) -> int:
+            return sum(o[at] == page[at] for o in seen) - 1
+
+        z = []
+        for x in range(3):
+            total = sum(o[6][x] for o in seen)
+            by_domain = (rest(2, x) + 5 * (total + 1) / (len(seen) + 3)) / (size(2) + 5)
+            by_host = (rest(1, x) + 5 * by_domain) / (size(1) + 5)
+            suffix = (rest(3, x) + 1) / (total + len({o[3] for o in seen}))
+            declared = (rest(4, x) + 1) / (total + len({o[4] for o in seen}))
+            z.append(page[5][x] + math.log(by_host) + math.log(suffix) + math.log(declared))
+        p = [math.exp(v - max(z)) for v in z]
+        p = [v / sum(p) for v in p]
+        want[page[0], page[1], page[3], page[4], langs[p.index(max(p))], *(round(v, 4) for v in p)] += 1
+    have = Counter(
+        (r["page_id"], r["host"], r["suffix"], r["declared"], r["lang"], *(round(r["posterior"][x], 4) for x in langs)) for r in got
+    )
+    assert have == want
+
+
+def test_many_languages(spark):
+    names = [f"l{i:03}" for i in range(60)]
+    labelled = spark.createDataFrame([(x, f"{x} " * 5) for x in names], "lang string, text string")
+    pages = spark.createDataFrame([(i, f"http://{x}.org/", f"<p>{x} {x} {x}</p>") for i, x in enumerate(names)], "page_id long, url string, html string")
+    got = {r["page_id"]: r["lang"] for r in language_id.identify(pages, labelled).collect()}
+    assert [got[i] for i in range(60)] == names
+
+
 def test_empty_tables(empty):
     piece, ids = public_tokenizers.path("piece_bpe_32k.model"), public_tokenizers.path("word_bpe_49k.json")
     for df in (
