@@ -114,8 +114,15 @@ def text_posteriors(rows: DataFrame, model: TextModel, weight: float) -> DataFra
     return rows.select("id", "host", "domain", "suffix", "declared", of("data").alias("t")).select("*", "t.ll", "t.q").drop("t")
 
 
-def _sums(q: str, n: int) -> Column:
-    return F.array(*[F.sum(F.element_at(q, i + 1)) for i in range(n)])
+def _sums(q: DataFrame, by: str, name: str) -> DataFrame:
+    """(`by`, `name`): the sum of the posteriors of a group, an array by language."""
+    each = q.select(by, F.posexplode("q").alias("at", "x")).groupBy(by, "at").agg(F.sum("x").alias("x"))
+    ordered = F.array_sort(F.collect_list(F.struct("at", "x")))  # an entry per language
+    return each.groupBy(by).agg(F.transform(ordered, lambda e: e["x"]).alias(name))
+
+
+def _total(values: str) -> Column:
+    return F.aggregate(values, F.lit(0.0), lambda s, x: s + x)
 
 
 def identify(
@@ -144,45 +151,38 @@ def identify(
     langs = model.langs
     k = len(langs)
     q = staged(text_posteriors(rows, model, weight), "text_posteriors")
-    every = q.agg(_sums("q", k).alias("s"), F.count("*").alias("n")).first()
-    total = [x or 0.0 for x in every["s"]]
-    pages_n = every["n"]
-    world = [(x + 1.0) / (pages_n + k) for x in total]
-
-    def side(col: str, name: str) -> DataFrame:
-        return q.groupBy(col).agg(_sums("q", k).alias(name))
-
-    joined = (
-        q.join(side("host", "h"), "host")
-        .join(side("domain", "d"), "domain")
-        .join(side("suffix", "s"), "suffix")
-        .join(side("declared", "m"), "declared")
-    )
-    kinds = q.agg(F.count_distinct("suffix").alias("s"), F.count_distinct("declared").alias("m")).first()
-
-    def at(name: str, i: int) -> Column:
-        return F.element_at(name, i + 1)
-
-    def less_own(name: str, i: int) -> Column:
-        return F.greatest(at(name, i) - at("q", i), F.lit(0.0))
-
-    def size(name: str) -> Column:
-        return F.greatest(sum((at(name, i) for i in range(k)), F.lit(0.0)) - 1.0, F.lit(0.0))
-
-    scores = []
-    for i in range(k):
-        domain = (less_own("d", i) + kappa * world[i]) / (size("d") + kappa)
-        host = (less_own("h", i) + kappa * domain) / (size("h") + kappa)
-        suffix = (less_own("s", i) + alpha) / (max(total[i], 0.0) + alpha * max(kinds["s"], 1))
-        declared = (less_own("m", i) + alpha) / (max(total[i], 0.0) + alpha * max(kinds["m"], 1))
-        scores.append(at("ll", i) + F.ln(host) + F.ln(suffix) + F.ln(declared))
-    scored = joined.select("id", "declared", "suffix", "host", "q", F.array(*scores).alias("z"))
+    each = q.select(F.posexplode("q").alias("at", "x")).groupBy("at").agg(F.sum("x").alias("x")).collect()  # by language
+    sums = {r["at"]: r["x"] for r in each}
+    total = [sums.get(i, 0.0) for i in range(k)]
+    kinds = q.agg(F.count("*").alias("n"), F.count_distinct("suffix").alias("s"), F.count_distinct("declared").alias("m")).first()
+    world = F.array(*[F.lit((x + 1.0) / (kinds["n"] + k)) for x in total])
+    joined = q
+    for by, name in (("host", "h"), ("domain", "d"), ("suffix", "s"), ("declared", "m")):
+        joined = joined.join(_sums(q, by, name), by)
+
+    def others(name: str) -> Column:
+        """Pages' worth of the group's evidence without the page itself."""
+        return F.greatest(_total(name) - 1.0, F.lit(0.0))
+
+    def score(i: Column) -> Column:
+        def less_own(name: str) -> Column:
+            return F.greatest(F.get(name, i) - F.get("q", i), F.lit(0.0))
+
+        domain = (less_own("d") + kappa * F.get("world", i)) / (F.col("nd") + kappa)
+        host = (less_own("h") + kappa * domain) / (F.col("nh") + kappa)
+        suffix = (less_own("s") + alpha) / (F.get("total", i) + alpha * max(kinds["s"], 1))
+        declared = (less_own("m") + alpha) / (F.get("total", i) + alpha * max(kinds["m"], 1))
+        return F.get("ll", i) + F.ln(host) + F.ln(suffix) + F.ln(declared)
+
+    sized = joined.select(
+        "*", others("h").alias("nh"), others("d").alias("nd"), world.alias("world"),
+        F.array(*[F.lit(x) for x in total]).alias("total"), F.sequence(F.lit(0), F.lit(k - 1)).alias("at"),
+    )
+    scored = sized.select("id", "declared", "suffix", "host", "q", F.transform("at", score).alias("z"))
     top = F.array_max("z")
     weights = F.transform("z", lambda x: F.exp(x - top))
     names = F.array(*[F.lit(x) for x in langs])
-    fused = scored.select("*", weights.alias("w")).select(
-        "*", F.transform("w", lambda x: x / F.aggregate("w", F.lit(0.0), lambda s, y: s + y)).alias("p")
-    )
+    fused = scored.select("*", weights.alias("w")).withColumn("all", _total("w")).withColumn("p", F.transform("w", lambda x: x / F.col("all")))
     return fused.select(
         F.col("id").alias(id_col),
         F.element_at(names, F.array_position("p", F.array_max("p")).cast("int")).alias("lang"),
