@@ -33,6 +33,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -377,12 +378,18 @@ def remove_repeats(
         F.collect_list(F.struct("start", "stop")).alias("spans")
     )
 
+    @F.pandas_udf("binary")
+    def pressed(data: pd.Series) -> pd.Series:
+        return data.map(zstandard.ZstdCompressor().compress)
+
     @F.pandas_udf("n_words long, n_removed long, kept_sha256 string")
     def cut(data: pd.Series, starts: pd.Series, stops: pd.Series) -> pd.DataFrame:
+        whole = data.map(zstandard.ZstdDecompressor().decompress)
         return pd.DataFrame(
-            [_cut(*x) for x in zip(data, starts, stops)], columns=["n_words", "n_removed", "kept_sha256"]
+            [_cut(*x) for x in zip(whole, starts, stops)], columns=["n_words", "n_removed", "kept_sha256"]
         )
 
+    rows = rows.withColumn("data", pressed("data"))  # whole texts are shuffled to their spans
     joined = rows.join(
         per_doc, rows["id"].eqNullSafe(per_doc["_id"]) & (rows["row"] == per_doc["_row"]), "left"
     )
