@@ -6,9 +6,10 @@ windows that share one minimiser occurrence travel as one packed string to the b
 that minimiser, about three words for each word of the text instead of `window`.
 
 Common word pairs would draw a share of the whole corpus into one bucket. So windows are counted
-by minimiser first, and one with more than `bucket_limit` windows and `HOT_SHARE` of all is only
-taken where a window holds no other: its windows spread over their second choices. The list of
-such minimisers has at most 1 / `HOT_SHARE` entries, and equal windows still choose alike.
+by the first bits of their minimiser first, and those bits with more than `bucket_limit` windows and
+`HOT` times the share that the smallest hashes get by chance are only taken where a window holds no
+others: its windows spread over their second choices. Such bits are a few thousand at most, and
+equal windows still choose alike.
 
 A bucket arrives sorted by string and position. Equal strings are adjacent: all but the
 first are repeats as a whole. Only if a bucket holds several different strings are their
@@ -42,10 +43,11 @@ from contentlake.llm.common import staged, text_bytes
 WINDOW = 20
 GRAM = 2
 BUCKET_LIMIT = 200_000
-HOT_SHARE = 2.0**-20
+HOT = 4
 _CHUNK = 1 << 20  # words looked at together
 _PLACE_BITS = 24
 _BUCKET_BITS = 32  # of a minimiser; two that share them only share a bucket
+_HOT_BITS = 19  # of a minimiser, the first of which marks the last choice
 _LAST = np.uint64(1 << 63)  # sorts a word sequence behind all others
 _COUNT_BITS = 20  # a place is a start and, in its low bits, the number of windows
 _PACKED = "mini long, id {id}, row long, place long, text binary"
@@ -67,7 +69,7 @@ def super_kmers(words: list[bytes], breaks: np.ndarray, window: int, gram: int,
     """(minimiser, start, windows) arrays over concatenated documents.
 
     breaks: the end of each document among `words`; no window crosses one.
-    hot: sorted minimisers that are chosen last.
+    hot: sorted first bits of the minimisers that are chosen last.
     """
     n = len(words)
     if n < window:
@@ -85,9 +87,9 @@ def super_kmers(words: list[bytes], breaks: np.ndarray, window: int, gram: int,
         again = ids[j : j + len(mixed)] == ids[j - 1 : j - 1 + len(mixed)]
         mixed[again] |= _LAST
     if hot is not None and len(hot):
-        mini = (mixed >> np.uint64(64 - _BUCKET_BITS)).astype(np.int64)
-        found = np.minimum(np.searchsorted(hot, mini), len(hot) - 1)
-        mixed[hot[found] == mini] |= _LAST
+        bits = (mixed >> np.uint64(64 - _HOT_BITS)).astype(np.int64)
+        found = np.minimum(np.searchsorted(hot, bits), len(hot) - 1)
+        mixed[hot[found] == bits] |= _LAST
     place = np.arange(len(mixed), dtype=np.uint64)
     key = (mixed >> np.uint64(_PLACE_BITS) << np.uint64(_PLACE_BITS)) | place
     least = _sliding_min(key, window - gram + 1)  # one per window, leftmost among equals
@@ -137,7 +139,7 @@ def _documents(texts: list[bytes], skip: set[int], window: int) -> Iterator[tupl
 
 
 def _count(window: int, gram: int):
-    """Windows per minimiser, summed by chunk."""
+    """Windows per first bits of a minimiser, summed by chunk."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -145,20 +147,22 @@ def _count(window: int, gram: int):
             texts = batch.column(2).to_pylist()
             for words, parts in _documents(texts, set(_copies(texts, order)), window):
                 mini, _, windows = super_kmers(words, np.cumsum([n for _, _, n in parts]), window, gram)
-                each, of = np.unique(mini, return_inverse=True)
+                each, of = np.unique(mini >> (_BUCKET_BITS - _HOT_BITS), return_inverse=True)
                 n = np.bincount(of, windows, len(each)).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(each), pa.array(n)], ["mini", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(each), pa.array(n)], ["bits", "n"])
 
     return run
 
 
-def hot_minimisers(rows: DataFrame, window: int, gram: int, limit: int, share: float = HOT_SHARE) -> np.ndarray:
-    """Minimisers of over `limit` windows and over `share` of all windows, sorted; 1 / share at most."""
-    counted = rows.mapInArrow(_count(window, gram), "mini long, n long").groupBy("mini").agg(F.sum("n").alias("n"))
+def hot_minimisers(rows: DataFrame, window: int, gram: int, limit: int, times: float = HOT) -> np.ndarray:
+    """First bits of minimisers of over `limit` windows and over `times` the share that the smallest get
+    by chance, sorted."""
+    share = times * (window - gram + 1) / (1 << _HOT_BITS - 1)
+    counted = rows.mapInArrow(_count(window, gram), "bits long, n long").groupBy("bits").agg(F.sum("n").alias("n"))
     counted = staged(counted, "minimisers")
     total = counted.agg(F.sum("n")).first()[0] or 0
-    large = counted.where((F.col("n") > limit) & (F.col("n") > total * share)).select("mini")
-    return np.sort(np.array([r[0] for r in large.collect()], np.int64))
+    large = counted.where((F.col("n") > limit) & (F.col("n") > total * share)).select("bits")
+    return np.sort(np.array([r[0] for r in large.collect()], np.int64))  # 1 / share at most
 
 
 def _pack(window: int, gram: int, hot: np.ndarray):

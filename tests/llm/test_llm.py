@@ -177,7 +177,7 @@ def test_hot_minimisers_are_chosen_last(spark):
     df = spark.createDataFrame([(i, 0, b" ".join(own)) for i, own in enumerate(rows)], "id long, row long, data binary")
     hot = substring_dedup.hot_minimisers(df, 20, 2, before[0] // 2)
     assert len(hot) == 1
-    assert substring_dedup.hot_minimisers(df, 20, 2, before[0] // 2, share=0.999).size == 0
+    assert substring_dedup.hot_minimisers(df, 20, 2, before[0] // 2, times=1e5).size == 0
     after = largest(rows, hot)
     assert after[1] == before[1] == 300 * 41 and after[0] < before[0] / 10
 
