@@ -18,8 +18,6 @@ seeded order fall to the id and then the size; an empty table gives an empty res
 
 from __future__ import annotations
 
-import heapq
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -46,58 +44,95 @@ def quotas(sizes: dict, weights: dict, total: int, limit: int = REPEATS) -> dict
 
 
 def route(need: dict, patterns: dict[tuple, int], repeats: int = REPEATS) -> dict[tuple, int]:
-    """Words taken from each pattern: successive cheapest paths, the k-th use costing 2^k - 1.
+    """Words taken from each pattern by min-cost flow, the k-th use of its words costing 2^k - 1.
+
+    Only the step from a pattern to the sink has a price, and no path passes the sink, so a cheapest
+    path costs what its last step costs. The uses are therefore opened by price, `repeats` times, and each
+    time the flow is made as large as it gets, by blocking flows over shortest paths.
 
     need: words per source; patterns: words per source set. Integers throughout.
     """
-    sources, sets = list(need), list(patterns)
-    first_set, sink = 1 + len(sources), 1 + len(sources) + len(sets)
-    graph: list[list[int]] = [[] for _ in range(sink + 1)]
-    to, room, cost = [], [], []
-
-    def arc(a: int, b: int, cap: int, price: int) -> None:
-        for x, y, c, p in ((a, b, cap, price), (b, a, 0, -price)):
-            graph[x].append(len(to))
-            to.append(y), room.append(c), cost.append(p)
-
-    at = {s: 1 + i for i, s in enumerate(sources)}
-    for s in sources:
-        arc(0, at[s], need[s], 0)
-    uses: dict[tuple, list[int]] = {}
-    for j, p in enumerate(sets):
-        for s in p:
-            arc(at[s], first_set + j, need[s], 0)
-        uses[p] = []
-        for k in range(repeats):
-            uses[p].append(len(to))
-            arc(first_set + j, sink, patterns[p], 2**k - 1)
-    high = [0] * (sink + 1)
-    while True:
-        dist, came = [None] * (sink + 1), [-1] * (sink + 1)
-        dist[0], heap = 0, [(0, 0)]
-        while heap:
-            d, x = heapq.heappop(heap)
-            if d > dist[x]:
-                continue
-            for e in graph[x]:
-                if room[e] > 0:
-                    nd = d + cost[e] + high[x] - high[to[e]]
-                    if dist[to[e]] is None or nd < dist[to[e]]:
-                        dist[to[e]], came[to[e]] = nd, e
-                        heapq.heappush(heap, (nd, to[e]))
-        if dist[sink] is None:
-            return {p: sum(room[e ^ 1] for e in uses[p]) for p in sets}
-        most = max(d for d in dist if d is not None)
-        high = [h + (most if d is None else d) for h, d in zip(high, dist)]
-        push, x = None, sink
-        while x:
-            push = room[came[x]] if push is None else min(push, room[came[x]])
-            x = to[came[x] ^ 1]
-        x = sink
-        while x:
-            room[came[x]] -= push
-            room[came[x] ^ 1] += push
-            x = to[came[x] ^ 1]
+    number = {s: i for i, s in enumerate(need)}
+    members = [[number[s] for s in p] for p in patterns]
+    holding: list[list[int]] = [[] for _ in need]
+    for j, of in enumerate(members):
+        for i in of:
+            holding[i].append(j)
+    left, room = list(need.values()), [0] * len(members)
+    sent = [dict.fromkeys(of, 0) for of in members]
+    for _ in range(repeats):
+        room = [r + words for r, words in zip(room, patterns.values())]
+        while _blocking_flow(left, room, sent, members, holding):
+            pass
+    return {p: sum(by_source.values()) for p, by_source in zip(patterns, sent)}
+
+
+def _layers(left: list, room: list, sent: list[dict], holding: list[list]) -> tuple[dict, dict, bool]:
+    """Steps from a source with words left to each source and pattern, and if a pattern with room was met."""
+    to_source, to_set = {i: 0 for i, words in enumerate(left) if words}, {}
+    now, step = list(to_source), 0
+    while now:
+        met = []
+        for i in now:
+            for j in holding[i]:
+                if j not in to_set:
+                    to_set[j] = step + 1
+                    met.append(j)
+        if any(room[j] for j in met):
+            return to_source, to_set, True
+        now, step = [], step + 2
+        for j in met:
+            for i, words in sent[j].items():
+                if words and i not in to_source:
+                    to_source[i] = step
+                    now.append(i)
+    return to_source, to_set, False
+
+
+def _blocking_flow(left: list, room: list, sent: list[dict], members: list[list], holding: list[list]) -> bool:
+    """Fills all shortest paths from sources with words left to patterns with room; False if there are none.
+
+    A path is source, pattern, source, ...: what a pattern already has from the next source gives way.
+    """
+    to_source, to_set, found = _layers(left, room, sent, holding)
+    if not found:
+        return False
+    tried_sets, tried_sources = dict.fromkeys(to_source, 0), dict.fromkeys(to_set, 0)
+    for start in [i for i in to_source if left[i]]:
+        path = [start]
+        while path and left[start]:
+            x = path[-1]
+            if len(path) % 2:
+                at, ahead = tried_sets[x], holding[x]
+                if at < len(ahead) and to_set.get(ahead[at]) == to_source[x] + 1:
+                    path.append(ahead[at])
+                elif at < len(ahead):
+                    tried_sets[x] += 1
+                else:
+                    path.pop()
+                    if path:
+                        tried_sources[path[-1]] += 1
+            elif room[x]:
+                takes = list(zip(path[1::2], path[0::2]))
+                gives = list(zip(path[1::2], path[2::2]))
+                push = min(left[start], room[x], *[sent[j][i] for j, i in gives])
+                left[start] -= push
+                room[x] -= push
+                for j, i in takes:
+                    sent[j][i] += push
+                for j, i in gives:
+                    sent[j][i] -= push
+                path = [start]
+            else:
+                at, ahead = tried_sources[x], members[x]
+                if at < len(ahead) and sent[x][ahead[at]] and to_source.get(ahead[at]) == to_set[x] + 1:
+                    path.append(ahead[at])
+                elif at < len(ahead):
+                    tried_sources[x] += 1
+                else:
+                    path.pop()
+                    tried_sets[path[-1]] += 1
+    return True
 
 
 def _order(seed: int) -> Column:
@@ -202,6 +237,7 @@ def mix(
     rows = found.limit(max_patterns + 1).collect()
     if len(rows) > max_patterns:
         raise ValueError(f"more than {max_patterns} distinct source sets")
+    rows.sort(key=lambda r: [(s is None, s or "") for s in r["sources"]])  # of equal flows, the same one each time
     names = sorted({s for r in rows for s in r["sources"]}, key=lambda s: (s is None, s or ""))
     sizes = dict.fromkeys(names, 0)
     for r in rows:

@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import hashlib
 import math
+import random
 import re
+import time
 import zlib
 from collections import Counter
+from itertools import combinations, product
 
 import numpy as np
 import public_tokenizers
@@ -245,6 +248,52 @@ def test_route_overlapping_sources():
     assert got == {("a",): 12}
 
 
+@pytest.mark.parametrize("seed", range(60))
+def test_route_against_brute_force(seed):
+    """As much as can flow, at the least cost: all amounts per pattern are tried, by Hall's condition."""
+    rng = random.Random(seed)
+    sources = ["a", "b", "c"]
+    need = {s: rng.randint(0, 9) for s in sources}
+    sets = [p for n in (1, 2, 3) for p in combinations(sources, n)]
+    patterns = {p: rng.randint(0, 2) for p in rng.sample(sets, 4)}
+    groups = [set(g) for n in range(4) for g in combinations(sources, n)]
+
+    def cost(taken):
+        return sum((2**k - 1) * min(w, max(0, t - k * w)) for t, w in zip(taken, patterns.values()) for k in range(3))
+
+    def possible(taken):
+        return all(sum(t for p, t in zip(patterns, taken) if g.issuperset(p)) <= sum(need[s] for s in g) for g in groups)
+
+    every = [t for t in product(*[range(3 * w + 1) for w in patterns.values()]) if possible(t)]
+    best = min((-sum(t), cost(t)) for t in every)
+    got = mixing.route(need, patterns)
+    taken = tuple(got[p] for p in patterns)
+    assert possible(taken) and (-sum(taken), cost(taken)) == best
+    assert all(t <= 3 * w for t, w in zip(taken, patterns.values()))
+
+
+def test_route_of_many_patterns():
+    rng = random.Random(5)
+    sources = [f"s{i}" for i in range(300)]
+    patterns = {tuple(sorted(rng.sample(sources, rng.randint(1, 4)))): rng.randint(1, 10_000) for _ in range(20_000)}
+    total = sum(patterns.values())
+    need = {s: total // len(sources) for s in sources}
+    begun = time.perf_counter()
+    got = mixing.route(need, patterns)
+    assert time.perf_counter() - begun < 30  # a few seconds as a rule
+    assert sum(got.values()) == sum(need.values()) and all(got[p] <= 3 * w for p, w in patterns.items())
+
+
+def test_overlapping_sources_are_mixed_alike_in_any_order(spark):
+    rows = [(i, "w " * (i % 7 + 1), ["a"] if i % 3 else ["a", "b"] if i % 2 else ["b", "c", None]) for i in range(200)]
+    runs = []
+    for some in (rows, rows[::-1]):
+        docs = spark.createDataFrame(some, "doc_id long, text string, sources array<string>").repartition(5)
+        plan = mixing.mix(docs, source=F.col("sources")).groupBy("sources").agg(F.sum(F.col("size") * F.col("copies")))
+        runs.append(sorted(map(str, plan.collect())))
+    assert runs[0] == runs[1]
+
+
 def base_by_rule(text: str) -> list[tuple[str, int, int]]:
     """The fixed patterns, stated here once more."""
     import re
