@@ -17,18 +17,46 @@ from checks.views import (
     video_sql,
 )
 from contentlake.functions.text import WHITESPACE, snake_case
-from contentlake.specs import (
-    GOLD_DIMENSION,
-    GOLD_FACT,
-    PRODUCTION,
-    PRODUCTION_HASH_COLUMNS,
-    SILVER_PRODUCTION_COLUMNS,
-    SILVER_VIDEO_COLUMNS,
-    SILVER_VIDEO_COUNTS,
-    SILVER_VIDEO_MONEY,
-    SILVER_VIDEO_RATIOS,
-    VIDEO,
+from contentlake.specs import PRODUCTION, VIDEO
+
+# Columns, renames and hash order of silver and gold, stated apart from those of the library.
+SILVER_VIDEO_TEXT = ("toko", "nama_kreator", "id_kreator", "informasi_video", "id_video", "produk")
+SILVER_VIDEO_COUNTS = {
+    **{c: c for c in ("vv", "likes", "komentar", "dibagikan", "pengikut_baru", "klik_video_ke_live")},
+    **{c: c for c in ("produk_dilihat", "klik_produk", "pembeli", "pesanan_video")},
+    "produk_yang_terjual_dari_video": "produk_terjual_video",
+}
+SILVER_VIDEO_MONEY = {
+    "nilai_barang_dagangan_bruto_video_rp": "gmv_bruto_video",
+    "gpm_rp": "gpm",
+    "gmv_yang_didapat_dari_video_jualan_rp": "gmv_didapat_video",
+}
+SILVER_VIDEO_RATIOS = {
+    "rasio_klik_tayang_video": "ctr_video",
+    "rasio_video_ke_live": "ratio_video_ke_live",
+    "persentase_video_yang_ditonton_hingga_selesai": "pct_tonton_selesai",
+    "rasio_pesanan_per_klik_video": "cvr_video",
+}
+SILVER_VIDEO_COLUMNS = (
+    "tanggal",
+    *SILVER_VIDEO_TEXT,
+    "waktu",
+    *SILVER_VIDEO_COUNTS.values(),
+    *SILVER_VIDEO_MONEY.values(),
+    *SILVER_VIDEO_RATIOS.values(),
 )
+PRODUCTION_HASH_COLUMNS = tuple(
+    """tanggal akun id_konten scripter editor produk jenis_konten tipe_konten talent_visual kategori_konten
+    isu layout script brief_editing cta talent_vo referensi_musik sound visual_hook audio_hook progress_edit
+    hook tingkat_konten tanggal_jadi progres_upload link_konten""".split()
+)
+SILVER_PRODUCTION_COLUMNS = PRODUCTION_HASH_COLUMNS  # the hash covers all of them
+GOLD_SELECT = """a.id_video, a.tanggal, a.toko, a.nama_kreator, a.informasi_video, a.waktu,
+  a.produk AS produk_sku, a.vv AS views, a.klik_video_ke_live, a.produk_dilihat, a.klik_produk, a.pembeli,
+  a.pesanan_video, a.produk_terjual_video, a.gmv_bruto_video, a.gmv_didapat_video,
+  b.tanggal AS tanggal_produksi, b.scripter, b.produk, b.editor, b.jenis_konten, b.tipe_konten, b.talent_visual,
+  b.kategori_konten, b.isu, b.layout, b.script, b.cta, b.talent_vo, b.referensi_musik, b.sound, b.visual_hook,
+  b.audio_hook, b.link_konten, b.hook"""
 
 NUMERIC = {snake_case(c): c for c in VIDEO.numeric_columns}
 PERCENT = {snake_case(c): c for c in VIDEO.percent_columns}
@@ -266,15 +294,7 @@ def latest(name: str, bronze: str, key: str, runs: str = "1, 2, 3") -> str:
 
 
 def silver_video_select() -> str:
-    out = []
-    for c in SILVER_VIDEO_COLUMNS:
-        if c == "tanggal":
-            out.append("CAST(tanggal AS DATE) AS tanggal")
-        elif c == "waktu":
-            out.append("waktu")
-        else:
-            if c in VIDEO.text_columns:
-                out.append(f"{upper_trim(c)} AS {c}")
+    out = ["CAST(tanggal AS DATE) AS tanggal", *[f"{upper_trim(c)} AS {c}" for c in SILVER_VIDEO_TEXT], "waktu"]
     out += [f"{raw} AS {new}" for raw, new in {**SILVER_VIDEO_COUNTS, **SILVER_VIDEO_MONEY}.items()]
     out += [f"{fraction(raw)} AS {new}" for raw, new in SILVER_VIDEO_RATIOS.items()]
     return ", ".join(out)
@@ -368,10 +388,6 @@ MERGE_PRODUCTION = (*SILVER_PRODUCTION, *TARGET_PRODUCTION, merge("mp", "tp", "s
 
 DEDUP = """dim AS (SELECT * FROM sp
   QUALIFY row_number() OVER (PARTITION BY id_konten ORDER BY tanggal DESC, akun DESC NULLS LAST, row_hash_clean DESC) = 1)"""
-GOLD_SELECT = ", ".join(
-    [f"a.{src} AS {out}" for out, src in GOLD_FACT]
-    + [f"b.{src} AS {out}" for out, src in GOLD_DIMENSION]
-)
 
 
 # --- The daily job: three runs, each past the marks the runs before it left ------------------
