@@ -88,3 +88,30 @@ def test_names():
     assert text.snake_case("No. Video") == "no_video"
     assert text.snake_case(" A-B/C% ") == "abc"
     assert text.snake_case("a  b") == "a__b"
+
+
+def test_usual_cells_read_as_the_general_patterns_do(spark):
+    """The short patterns stand in front of the general ones and must agree with them."""
+    cells = ["1.234", "Rp 1.234,56", "-5", "5,", ",5", "1,2,3", "Rp", "#12", "\xa07", "9" * 40, "7\n", "", None]
+    general = f"CASE WHEN c RLIKE r'{numbers.NUMERIC_CELL}' THEN 1 ELSE 0 END"
+    fits = evaluate(spark, cells, f"c RLIKE r'{numbers._USUAL_NUMBER}'")
+    assert all(g == 1 for f, g in zip(fits, evaluate(spark, cells, general)) if f)
+    assert fits[:5] == [True, True, True, False, False]
+    check(
+        spark,
+        {"1.234": Decimal(1234), "Rp 1.234,56": Decimal("1234.56"), "-5": Decimal(5), "5,": Decimal(5), "7\n": Decimal(7)},
+        numbers.clean_number("c"),
+    )
+    check(spark, {"12.5%": 0.125, "s3": 0.03, "4\\": 0.04, "1,5%": None, "": None}, numbers.percent_to_fraction("c"))
+    texts = {"0": "0", "0.000000001": "0.000000001", "-0.001": "-0.001", "120": "120", "-7.5": "-7.5", "0.123": "0.123"}
+    for ansi in ("true", "false"):
+        spark.conf.set("spark.sql.ansi.enabled", ansi)
+        check(spark, texts, numbers.plain_number(f"CAST(c AS {numbers.MONEY})"))
+    spark.conf.set("spark.sql.ansi.enabled", "true")
+    day = datetime(2024, 3, 9)
+    check(
+        spark,
+        {"2024.3/09": day, "09/3-2024": day, "2024/3/9 7:08:09": datetime(2024, 3, 9, 7, 8, 9), "2024-3-9 7:08:09": None,
+         "2101-01-01": None, "2024-02-31": None, "": None},
+        dates.parse_mixed_dates("c"),
+    )
