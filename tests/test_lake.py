@@ -207,3 +207,20 @@ def test_commit_file_is_whole(spark, tmp_path):
     commit = json.loads(read_text(spark, f"{path}/v=1/{COMMIT}"))
     assert commit["run_id"] == "r" and commit["digests"]["t"][0] == "2"
     assert not exists(spark, f"{path}/v=1/.{COMMIT}.tmp")
+
+
+def test_wide_rows_are_not_shuffled_to_be_dealt_out(spark, tmp_path):
+    """Raw cells are made after the narrow rows were dealt out; rows from a shuffle are written as they are."""
+    from checks import views
+
+    spark.sql(
+        "SELECT id AS event_id, TIMESTAMP'2024-01-05 10:00:00' AS ts, id AS user_id, 'view' AS event_type, 1D AS value, 'p' AS props"
+        " FROM range(20)"
+    ).write.parquet(f"{tmp_path}/events.parquet")
+    raw = views.raw_video(spark, str(tmp_path))
+    plan = raw._jdf.queryExecution().optimizedPlan().toString()
+    at = next(line for line in plan.splitlines() if "Rebalance" in line)
+    below = plan[plan.index(at) :]
+    assert raw.count() == 20 and "CASE" not in below
+    names = [line for line in raw._jdf.queryExecution().executedPlan().toString().splitlines() if "REBALANCE" in line]
+    assert len(names) == 1
