@@ -326,6 +326,29 @@ def test_secrets(spark):
     assert by[0]["n_assign"] == by[0]["n_hex"] == 1
 
 
+def test_every_value_is_scored_in_its_surroundings():
+    """A value that looks plain by itself counts where its surroundings tell, and there only."""
+
+    class Told:
+        threshold, alone = 0.5, 0.5
+
+        def logits(self, codes):
+            at = secret_scan.BEFORE
+            letter = secret_scan._codes(["$".ljust(secret_scan.WIDTH, "\0")])[0, 0]
+            return (codes[:, at - 1] == letter).astype(float)
+
+    texts = ["plainvalue and $plainvalue", "nothing here", "$" + "longer" * 20]
+    got = [more for _, more in secret_scan.Scanner(Told()).scan(texts)]
+    assert got == [[(3, 16, 26)], [], [(3, 1, 121)]]
+
+
+def test_looked_up_scores_are_those_of_the_network():
+    net = secret_scan.CharNet()
+    codes = np.random.default_rng(3).integers(0, 96, (300, secret_scan.WIDTH))
+    assert np.allclose(net.logits(codes), net._forward(codes)[4], atol=1e-5)
+    assert net.logits(codes[:0]).shape == (0,)
+
+
 def test_secrets_of_kinds_that_no_pattern_knows(spark):
     """Trained on what the patterns find, held against planted secrets of other kinds: recall and precision."""
     import string
