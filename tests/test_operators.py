@@ -7,8 +7,11 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from __spark_entry__ import queries
+from checks import views as v
+from contentlake.functions.numbers import is_numeric_corrupt
 from contentlake.operators import manifest as m
 from contentlake.operators import watermark as wm
+from contentlake.operators.latest import latest_per_key
 from contentlake.operators.merge import MergeSpec, merge_actions, merge_plan
 from contentlake.operators.naming import snake_case_columns
 from contentlake.operators.skew import hot_keys, left_join_unique
@@ -249,3 +252,30 @@ def test_plans(spark):
         assert plan.index("WindowGroupLimit") < plan.index("Exchange hashpartitioning")
         assert "WindowGroupLimit" in plan[plan.index("Exchange hashpartitioning") :]
     assert "BroadcastHashJoin" in plan_of(queries()["watermark_filter"](spark, SF_DIR))
+
+
+def test_latest_row_of_keys_that_begin_alike(spark):
+    """Null keys are one key, equal keys one row, and the sort is led by a hash of the keys."""
+    rows = [("a", None, 1), ("a", None, 2), (None, "x", 3), (None, "x", 1), ("a", "x", 5), ("a", "x", 5), (None, None, 0)]
+    df = spark.createDataFrame(rows, "k string, j string, n int")
+    latest = latest_per_key(df, [F.upper("k"), F.col("j")], [F.desc("n")])
+    assert bag(latest, "k", "j", "n") == sorted([("a", None, 2), (None, "x", 3), ("a", "x", 5), (None, None, 0)], key=repr)
+    assert "xxhash64" in plan_of(latest)
+
+
+def test_usual_cells_are_not_searched_for_large_numbers(spark):
+    """The search for a number no bigint holds is in a branch; behind an AND Spark ran it for every cell."""
+    cells = ["1.234", "Rp 5.000,50", "9" * 19, "9" * 18, "9" * 18 + ",55", "1" + "0" * 18, "12%", "", None]
+    df = spark.createDataFrame([(c,) for c in cells], "c string").selectExpr("c", f"{is_numeric_corrupt('c')} AS bad")
+    assert [c for c, bad in df.collect() if bad] == ["9" * 19, "12%"]
+    assert "CASE WHEN (length(c" in plan_of(df).replace("LocalTableScan", "")
+
+
+def test_staged_files_are_read_in_pieces(spark):
+    """One file of many rows is read by several tasks, each with some of its rows, and splits stay small."""
+    rows = spark.range(400_000).repartition(1).selectExpr("id", "sha2(CAST(id AS string), 256) AS text")
+    read = v.staged(spark, "own rows", "pieces", lambda: rows)
+    assert read.select(F.spark_partition_id()).distinct().count() > 2
+    assert read.count() == 400_000
+    queries()["ingest_counts"](spark, SF_DIR)
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == "8m"
