@@ -22,6 +22,7 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -29,14 +30,23 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contentlake.llm.common import new_path, pieces, staged, text_bytes
+from contentlake.llm.common import new_path, of_worker, pieces, staged, text_bytes
 
 END_ID = 2
 SEQ_LEN = 2048
 _BATCH = 256  # sequences per record batch
-_CACHED_WORDS = 1 << 20
-_LETTER_END = re.compile(rb"(?<=[a-z])(?=[.,])")
+_CACHED_WORDS = 3 << 18
 _CACHED_BYTES = 64  # longer words are encoded each time
+_SYMBOLS = np.array([33 <= c < 127 and not chr(c).isalnum() for c in range(256)])  # printable ASCII but letters and digits
+_LETTERS = re.compile(rb"(?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")  # of Latin-1, which lower-case one for one
+_WORD_END = "</w>"
+
+
+def parted(data: bytes) -> bytes:
+    """`data` with a space between a lower-case letter and an ASCII symbol that follows it."""
+    x = np.frombuffer(data, np.uint8)
+    after = (x[:-1] >= 97) & (x[:-1] <= 122) & _SYMBOLS[x[1:]]
+    return np.insert(x, np.flatnonzero(after) + 1, 32).tobytes() if after.any() else data
 
 
 class WordEncoder:
@@ -44,9 +54,12 @@ class WordEncoder:
 
     The vocabulary's own splitter drops white space and never joins across it, so a text's
     ids are those of its words in order, and a word met again needs no second encoding. It
-    lowers case and always parts a letter from a full stop or comma, so doing both
+    lowers case and always parts a letter from a symbol after it, so doing both
     beforehand changes no id and leaves fewer different words. Texts that may hold the
     string of a special token, whose case matters, are left as they are.
+
+    A word of letters alone is one piece and ends with the one of its tokens that ends a piece,
+    so such words are encoded as one text and told apart by these.
     """
 
     def __init__(self, vocabulary: str):
@@ -54,40 +67,46 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(vocabulary)
+        words = self.tokenizer.get_vocab()
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        self.ends = np.zeros(max(words.values()) + 1, bool)
+        self.ends[[i for w, i in words.items() if w.endswith(_WORD_END)]] = True
         self.known: dict[bytes, bytes] = {}
 
+    def _encode(self, texts: list[bytes]) -> list[list[int]]:
+        whole = [x.decode("utf-8", "replace") for x in texts]
+        return [e.ids for e in self.tokenizer.encode_batch_fast(whole, add_special_tokens=False)]
+
     def _learn(self, words: set[bytes]) -> dict[bytes, bytes]:
-        fresh = list(words)
-        found = self.tokenizer.encode_batch([w.decode("utf-8", "replace") for w in fresh], add_special_tokens=False)
-        return {w: np.array(e.ids, dtype=self.dtype).tobytes() for w, e in zip(fresh, found)}
+        plain = [w for w in words if _LETTERS.fullmatch(w)]
+        ids = np.array(self._encode([b" ".join(plain)])[0], dtype=self.dtype)
+        stops = (np.flatnonzero(self.ends[ids]) + 1) * self.dtype.itemsize
+        if len(stops) == len(plain):
+            data, starts = ids.tobytes(), [0, *stops[:-1].tolist()]
+            found = {w: data[a:b] for w, a, b in zip(plain, starts, stops.tolist())}
+        else:  # a vocabulary without such tokens
+            found = {}
+        rest = [w for w in words if w not in found]
+        return found | {w: np.array(x, dtype=self.dtype).tobytes() for w, x in zip(rest, self._encode(rest))}
 
     def encode(self, data: bytes) -> Iterator[bytes]:
         plain = b"<|" not in data
         for piece in pieces(data):
-            words = (_LETTER_END.sub(b" ", piece.lower()) if plain else piece).split()
-            new = set(words).difference(self.known)
+            words = (parted(piece.lower()) if plain else piece).split()
+            found = list(map(self.known.get, words))
+            new = {w for w, x in zip(words, found) if x is None}
             if new:
-                if len(self.known) > _CACHED_WORDS:
-                    self.known.clear()
-                    new = set(words)
                 learnt = self._learn(new)
+                found = [learnt[w] if x is None else x for w, x in zip(words, found)]
+                if len(self.known) > _CACHED_WORDS:  # the usual words are met first
+                    self.known = dict(islice(self.known.items(), _CACHED_WORDS // 2))
                 self.known.update((w, x) for w, x in learnt.items() if len(w) <= _CACHED_BYTES)
-                of = learnt.get
-                known = self.known.get
-                yield b"".join([known(w) or of(w, b"") for w in words])
-            else:
-                yield b"".join(map(self.known.__getitem__, words))
-
-
-_ENCODERS: dict[str, WordEncoder] = {}
+            yield b"".join(found)
 
 
 def encoder(vocabulary: str) -> WordEncoder:
     """One per worker process, so that what it has learnt outlives a task."""
-    if vocabulary not in _ENCODERS:
-        _ENCODERS[vocabulary] = WordEncoder(vocabulary)
-    return _ENCODERS[vocabulary]
+    return of_worker(WordEncoder, vocabulary)
 
 
 def _lists(values: np.ndarray, seq_len: int, kind: pa.DataType) -> pa.Array:

@@ -222,6 +222,28 @@ def test_word_encoder_equals_whole_text():
         assert ids == enc.tokenizer.encode(t, add_special_tokens=False).ids, t
 
 
+def test_word_encoder_parts_letters_from_symbols():
+    """Words that differ by the symbols after them are learnt once, and keep the ids of the whole text."""
+    enc = token_output.WordEncoder(public_tokenizers.path("word_bpe_49k.json"))
+    symbols = [chr(c) for c in range(33, 127) if not chr(c).isalnum()]
+    for t in [f"Word{c}{d} déjà{c} ÀÉ{c}x 1{c}2 l'{c} don't{c}tail É{c}\u0338" for c in symbols for d in ("", *symbols)]:
+        ids = np.frombuffer(b"".join(enc.encode(t.encode())), enc.dtype).tolist()
+        assert ids == enc.tokenizer.encode(t, add_special_tokens=False).ids, t
+    enc.known.clear()
+    assert [len(list(enc.encode(x))) for x in (b"one! two$$$", b"One% two&")] == [1, 1]
+    assert set(enc.known) == {b"one", b"two", b"!", b"$$$", b"%", b"&"}
+
+
+def test_word_encoder_keeps_the_words_met_first(monkeypatch):
+    monkeypatch.setattr(token_output, "_CACHED_WORDS", 8)
+    enc = token_output.WordEncoder(public_tokenizers.path("word_bpe_49k.json"))
+    text = " ".join(f"x{'abcdefghij'[i % 10] * (i // 10 + 1)} q{i}" for i in range(60))
+    for part in ("the of and", text, "the of and", text):
+        ids = np.frombuffer(b"".join(enc.encode(part.encode())), enc.dtype).tolist()
+        assert ids == enc.tokenizer.encode(part, add_special_tokens=False).ids
+    assert {b"the", b"of"} <= set(enc.known)
+
+
 def test_mix(docs, empty):
     got = mixing.mix(docs).collect()
     assert len(got) == len(odd_rows()) and mixing.mix(empty).count() == 0
