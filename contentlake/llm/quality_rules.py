@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from contentlake.llm.common import with_key, staged, text_bytes, without
+from contentlake.llm.common import of_worker, staged, text_bytes, with_key, without
 
 WINDOW = 8
 MIN_WORDS = 20
@@ -130,9 +130,6 @@ class WordPieces:
         return found
 
 
-_PIECES: dict[str, WordPieces] = {}
-
-
 def measure(data: bytes, pieces: WordPieces) -> tuple:
     """The measures of one text, as listed in `_MEASURES`."""
     words = data.split()
@@ -163,9 +160,8 @@ def measured(docs: DataFrame, vocabulary: str, id_col: str, text_col: str, lang_
 
     @F.pandas_udf(_MEASURES)
     def of(data: pd.Series) -> pd.DataFrame:
-        if vocabulary not in _PIECES:
-            _PIECES[vocabulary] = WordPieces(vocabulary)
-        return pd.DataFrame([measure(x, _PIECES[vocabulary]) for x in data], columns=names)
+        pieces = of_worker(WordPieces, vocabulary)
+        return pd.DataFrame([measure(x, pieces) for x in data], columns=names)
 
     lang = F.col(lang_col).cast("string") if lang_col else F.lit(None).cast("string")
     rows = docs.select(F.col(id_col).alias("id"), lang.alias("lang"), of(text_bytes(text_col)).alias("m"))

@@ -12,12 +12,14 @@ from collections import Counter
 from itertools import combinations, product
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
 from contentlake.llm import (
+    common,
     components as cc,
     decontaminate,
     language_id,
@@ -30,6 +32,8 @@ from contentlake.llm import (
     token_counts,
     token_output,
 )
+from contentlake.llm.common import of_worker
+from contentlake.session import tune
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_words long, fp string"
 WORDS = [f"w{i}" for i in range(40)]
@@ -244,6 +248,20 @@ def test_word_encoder_keeps_the_words_met_first(monkeypatch):
     assert {b"the", b"of"} <= set(enc.known)
 
 
+def test_worker_holds_one_vocabulary():
+    """Worker processes outlive a stage: what the stage before has learnt must not stay beside the next one's."""
+    pieces = of_worker(quality_rules.WordPieces, public_tokenizers.path("piece_bpe_32k.model"))
+    assert of_worker(quality_rules.WordPieces, public_tokenizers.path("piece_bpe_32k.model")) is pieces
+    words = token_output.encoder(public_tokenizers.path("word_bpe_49k.json"))
+    assert list(common._HELD.values()) == [words]
+
+
+def test_batches_to_python_are_bounded_in_bytes(spark):
+    rows = tune(spark).range(0, 400, 1, 1).select(F.repeat(F.lit("x"), 1 << 16).alias("text"))
+    sizes = rows.mapInPandas(lambda batches: (pd.DataFrame({"n": [len(b)]}) for b in batches), "n long").collect()
+    assert sum(r["n"] for r in sizes) == 400 and max(r["n"] for r in sizes) <= 65
+
+
 def test_mix(docs, empty):
     got = mixing.mix(docs).collect()
     assert len(got) == len(odd_rows()) and mixing.mix(empty).count() == 0
