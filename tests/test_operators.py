@@ -17,6 +17,7 @@ from contentlake.operators.naming import snake_case_columns
 from contentlake.operators.skew import hot_keys, left_join_unique
 from contentlake.sources.landing import LANDING_SCHEMA, promote_headers
 from contentlake.sources.state import read_state, write_state
+from contentlake.specs import PRODUCTION, VIDEO
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -279,3 +280,31 @@ def test_staged_files_are_read_in_pieces(spark):
     assert read.count() == 400_000
     queries()["ingest_counts"](spark, SF_DIR)
     assert spark.conf.get("spark.sql.files.maxPartitionBytes") == "8m"
+
+
+def test_rows_read_by_one_step_are_not_staged(spark, tmp_path):
+    """Bronze and the flags are made of the tables themselves; a task gets a bounded number of rows."""
+    for table in ("events", "orders"):
+        spark.read.parquet(f"{SF_DIR}/{table}.parquet").limit(60).write.parquet(f"{tmp_path}/{table}.parquet")
+    for spec, table in ((VIDEO, "events"), (PRODUCTION, "orders")):
+        for df in (v.annotated(spark, str(tmp_path), spec), v.bronze_run(spark, str(tmp_path), spec, 1)):
+            assert all(f"/{table}.parquet/" in f for f in df.inputFiles())
+    assert not any(sf == str(tmp_path) for _, sf, _ in v._STAGED)
+
+
+def test_cells_are_made_once(spark):
+    """A filter on made rows stays above them, with the same rows."""
+    df = spark.range(20).select((F.col("id") * 3).alias("a.b"), F.concat(F.lit("x"), "id").alias("c"))
+    made = v.made_once(df)
+    assert made.columns == df.columns and made.dtypes == df.dtypes
+    kept = made.filter("c LIKE '%1%'")
+    assert bag(kept, "c") == bag(df.filter("c LIKE '%1%'"), "c")
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Filter") < plan.index("Generate") < plan.index("concat(x")
+
+
+def test_rows_of_a_task_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(v, "ROWS_A_TASK", 20)
+    rows = v.raw_video(spark, SF_DIR)
+    n, parts = rows.count(), rows.groupBy(F.spark_partition_id().alias("p")).count()
+    assert n > 800 and max(r["count"] for r in parts.collect()) <= 60
