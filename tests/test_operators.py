@@ -11,7 +11,7 @@ from checks import views as v
 from contentlake.functions.numbers import is_numeric_corrupt
 from contentlake.operators import manifest as m
 from contentlake.operators import watermark as wm
-from contentlake.operators.latest import latest_per_key
+from contentlake.operators.latest import first_by_hash, latest_per_key
 from contentlake.operators.merge import MergeSpec, merge_actions, merge_plan
 from contentlake.operators.naming import snake_case_columns
 from contentlake.operators.skew import hot_keys, left_join_unique
@@ -308,3 +308,12 @@ def test_rows_of_a_task_are_bounded(spark, monkeypatch):
     rows = v.raw_video(spark, SF_DIR)
     n, parts = rows.count(), rows.groupBy(F.spark_partition_id().alias("p")).count()
     assert n > 800 and max(r["count"] for r in parts.collect()) <= 60
+
+
+def test_first_by_hash_shuffles_one_hash(spark):
+    rows = spark.createDataFrame(
+        [("a", 2), ("a", 1), (None, 5), (None, 4), ("b", 3)], "row_hash_raw string, row_idx int"
+    )
+    first = first_by_hash(rows, [F.asc("row_idx")])
+    assert bag(first, "row_hash_raw", "row_idx") == bag(rows.filter("row_idx IN (1, 3, 4)"), "row_hash_raw", "row_idx")
+    assert "xxhash64" not in first._jdf.queryExecution().optimizedPlan().toString()
