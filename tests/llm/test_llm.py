@@ -389,6 +389,52 @@ def test_looked_up_scores_are_those_of_the_network():
     assert net.logits(codes[:0]).shape == (0,)
 
 
+def test_training_goes_over_all_findings(spark, monkeypatch):
+    """Findings beyond the first network's sample change the network, how they are dealt to tasks does not."""
+    monkeypatch.setattr(secret_scan, "_STEPS", 30)
+    monkeypatch.setattr(secret_scan, "_LEAST_STEPS", 5)
+    rng = np.random.default_rng(4)
+
+    def row(kind: int, o: int, letters: str) -> tuple:
+        value = "".join(rng.choice(list(letters), 20))
+        return kind, o, next(secret_scan.contexts(f"some text {value} goes on", 10, 30))
+
+    rows = [row(kind, o, letters) for kind, letters in enumerate(("0123456789abcdef", "0123456789", "eorstln")) for o in range(60)]
+    more = [row(kind, 1000 + o, letters) for kind, letters in enumerate(("ABCDEFGHIJ", "05", "EOSTLN")) for o in range(150)]
+
+    def trained(rows: list[tuple], parts: int):
+        held = secret_scan.held_out([c for _, _, c in rows])
+        found = [(*r, bool(h)) for r, h in zip(rows, held)]
+        df = spark.createDataFrame(found, "kind int, o long, context string, held boolean").repartition(parts)
+        return secret_scan.train(df, max_labelled=30)
+
+    few, all_of, again = trained(rows, 2), trained(rows + more, 2), trained((rows + more)[::-1], 5)
+    assert any(not np.allclose(few.w[k], all_of.w[k], atol=1e-4) for k in few.w)
+    assert all(np.allclose(again.w[k], all_of.w[k], atol=1e-6) for k in few.w) and again.threshold == all_of.threshold
+    monkeypatch.setattr(secret_scan, "_A_BUCKET", 100)  # seven buckets, their weights averaged
+    parted = trained(rows + more, 2)
+    assert np.isfinite(parted.threshold) and all(parted.w[k].shape == few.w[k].shape for k in few.w)
+
+
+def test_every_finding_has_its_step():
+    kind = np.array([secret_scan.POSITIVE] * 3 + [secret_scan.PLAIN] * 40_000 + [secret_scan.TELLING] * 100)
+    seen = Counter()
+    for pick, weight, rate in secret_scan.every_row(kind, np.random.default_rng(1)):
+        seen.update(pick.tolist())
+        assert rate > 0 and np.isclose(weight[kind[pick] == secret_scan.POSITIVE].sum(), 0.5) and np.isclose(weight.sum(), 1)
+    assert len(seen) == len(kind)
+    assert not list(secret_scan.every_row(kind[:3], np.random.default_rng(1)))
+
+
+def test_rare_findings_are_in_every_bucket(spark, monkeypatch):
+    monkeypatch.setattr(secret_scan, "_A_BUCKET", 500)
+    found = spark.range(2012).selectExpr("if(id < 12, 0, 2) AS kind", "id AS o", "concat('c', id) AS context", "false AS held")
+    dealt = secret_scan._dealt(found, {True: 12, False: 2000})
+    sizes = {r["bucket"]: (r["n"], r["one"]) for r in dealt.groupBy("bucket").agg(F.count("*").alias("n"), F.expr("count_if(kind = 0)").alias("one")).collect()}
+    assert len(sizes) == 5 and all(20 < one < 100 and n < 800 for n, one in sizes.values())
+    assert dealt.select("o").distinct().count() == 2012
+
+
 def test_secrets_of_kinds_that_no_pattern_knows(spark):
     """Trained on what the patterns find, held against planted secrets of other kinds: recall and precision."""
     import string
