@@ -16,10 +16,11 @@ from contentlake.operators.validate import annotate, error_rows, valid_rows, val
 from contentlake.plans.bronze import bronze_schema
 from contentlake.plans.daily import Run, read_gold, run_daily
 from contentlake.plans.silver import changed_since
+from contentlake.session import tune
 from contentlake.sources import ledger, versions
 from contentlake.sources.files import child_names, create, exists, read_text
 from contentlake.sources.state import COMMIT, committed_run, latest_version, read_commit, read_state, write_state
-from contentlake.sources.tables import publish_table, read_published
+from contentlake.sources.tables import publish_table, read_published, read_silver, write_run
 from contentlake.specs import VIDEO, DatasetSpec
 from tests.test_daily import lake, production_row, video_row  # noqa: F401  (a fixture)
 
@@ -224,3 +225,26 @@ def test_wide_rows_are_not_shuffled_to_be_dealt_out(spark, tmp_path):
     assert raw.count() == 20 and "CASE" not in below
     names = [line for line in raw._jdf.queryExecution().executedPlan().toString().splitlines() if "REBALANCE" in line]
     assert len(names) == 1
+
+
+def test_first_run_has_nothing_to_meet(spark, tmp_path):
+    """A table that is not there yet is known to be empty: no row is shuffled to be joined with it."""
+    from contentlake.operators.watermark import REGISTRY_SCHEMA, STATE_SCHEMA, filter_by_watermark, watermark_map
+
+    registry = spark.createDataFrame([("one", "c1", 0)], REGISTRY_SCHEMA)
+    registry.write.parquet(str(tmp_path / "registry"))
+    marks = watermark_map(read_state(spark, str(tmp_path / "state"), "w", STATE_SCHEMA), spark.read.parquet(str(tmp_path / "registry")))
+    rows = spark.range(20).selectExpr("'c1' AS creds", "TIMESTAMP_NTZ'2024-01-05 10:00:00' AS tanggal", "id")
+    kept = filter_by_watermark(rows, marks)
+    assert kept.count() == 20 and "Exchange" not in kept._jdf.queryExecution().executedPlan().toString()
+    nothing = read_silver(spark, str(tmp_path / "silver"), "a string, b date")
+    assert nothing.dtypes == [("a", "string"), ("b", "date")] and nothing.count() == 0
+    assert read_published(spark, str(tmp_path / "gold"), "a string").count() == 0
+
+
+def test_wide_tables_are_written_small_and_shuffles_dropped(spark, tmp_path):
+    tune(spark, wide=True)
+    write_run(spark.range(1000).selectExpr("sha2(CAST(id AS string), 256) AS h"), str(tmp_path / "t"), "20240101", "2024010106", "r", dealt=True)
+    assert list(tmp_path.rglob("*.zstd.parquet")) and spark.read.parquet(str(tmp_path / "t")).select("h").distinct().count() == 1000
+    again = spark.range(2000).repartition(3).groupBy((F.col("id") % 7).alias("k")).count()
+    assert sorted(again.collect()) == sorted(again.collect())  # the shuffle is made again
